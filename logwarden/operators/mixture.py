@@ -62,7 +62,7 @@ def with_anomaly_prob(scored: DataFrame) -> DataFrame:
     posteriors are joined back as a table of the same bounded size.
     """
     histogram = scored.groupBy("fused_score").agg(F.count("*").alias("weight"))
-    posteriors = histogram.groupBy(F.lit(0)).applyInPandas(
+    posteriors = histogram.withColumn("batch", F.lit(0)).groupBy("batch").applyInPandas(
         _fit, "fused_score double, anomaly_prob double"
     )
     return scored.join(F.broadcast(posteriors), "fused_score", "left")
