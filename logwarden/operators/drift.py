@@ -34,20 +34,26 @@ def histogram(long: DataFrame, edges: DataFrame, open_ended: bool = False) -> Da
     return joined.groupBy("name", slot.alias("bin")).agg(F.count("*").alias("cnt"))
 
 
-def psi_kl(
+def bin_counts(
     old: DataFrame, new: DataFrame, columns, buckets: int = 10, open_ended: bool = False
 ) -> DataFrame:
-    """``(name, psi, kl)`` for each column; fewer than three edges give 0."""
+    """``(name, bin, old, new)``: both samples over the old one's bins, empty bins as 0."""
     old_long, new_long = unpivot(old, columns), unpivot(new, columns)
     edges = bin_edges(old_long, buckets)
-    slots = edges.filter(F.size("edges") >= 3).select(
+    counts = edges.filter(F.size("edges") >= 3).select(
         "name", F.explode(F.sequence(F.lit(1), F.size("edges") - 1)).alias("bin")
     )
-    counts = slots
     for side, long in (("old", old_long), ("new", new_long)):
         side_counts = histogram(long, edges, open_ended).withColumnRenamed("cnt", side)
         counts = counts.join(side_counts, ["name", "bin"], "left")
-    filled = counts.fillna(0, ["old", "new"])
+    return counts.fillna(0, ["old", "new"])
+
+
+def psi_kl(
+    old: DataFrame, new: DataFrame, columns, buckets: int = 10, open_ended: bool = False
+) -> DataFrame:
+    """``(name, psi, kl)`` for each column; fewer than three edges give 0."""
+    filled = bin_counts(old, new, columns, buckets, open_ended)
     totals = filled.groupBy("name").agg(
         F.sum("old").alias("old_total"),
         F.sum("new").alias("new_total"),
@@ -75,7 +81,7 @@ def psi_kl(
         total_of(lambda e, a: (a - e) * F.log(a / e)).alias("psi"),
         total_of(lambda e, a: a * F.log(a / e)).alias("kl"),
     )
-    names = edges.sparkSession.createDataFrame([(c,) for c in columns], "name string")
+    names = old.sparkSession.createDataFrame([(c,) for c in columns], "name string")
     return names.join(F.broadcast(measured), "name", "left").fillna(0.0, ["psi", "kl"])
 
 

@@ -6,25 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEATURE_COLUMNS
+from ..functions.quantiles import unpivot
 
 
 def scaler_stats(windows: DataFrame) -> DataFrame:
     """``(feature, mean, std)``, one row per model input; a zero deviation counts as 1."""
-    stats = windows.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"{c}__mean") for c in FEATURE_COLUMNS],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}__std") for c in FEATURE_COLUMNS],
+    deviation = F.stddev_pop("x")
+    return (
+        unpivot(windows, FEATURE_COLUMNS)
+        .groupBy(F.col("name").alias("feature"))
+        .agg(
+            F.avg("x").alias("mean"),
+            F.when(deviation == 0, F.lit(1.0)).otherwise(deviation).alias("std"),
+        )
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.col(f"{c}__mean").alias("mean"),
-                F.when(F.col(f"{c}__std") == 0, F.lit(1.0)).otherwise(F.col(f"{c}__std")).alias("std"),
-            )
-            for c in FEATURE_COLUMNS
-        ]
-    )
-    return stats.select(F.inline(rows))
 
 
 def collect_scaler(stats: DataFrame) -> dict[str, tuple[float, float]]:

@@ -53,27 +53,29 @@ def next_model_number(events: DataFrame) -> DataFrame:
     return events.agg((F.count_distinct(registered) + 1).alias("next_number"))
 
 
-def compatibility(events: DataFrame, model_id: str, cfg: DetectorConfig) -> DataFrame:
-    """``(item, saved, current)`` for each entry in which a saved model differs."""
-    spark = events.sparkSession
-    saved = events.filter((F.col("model_id") == model_id) & (F.col("event") == "candidate"))
-    current = [("version", ENGINE_VERSION), ("features", ",".join(FEATURE_COLUMNS))]
-    current += [(k, repr(v)) for k, v in sorted(cfg.fingerprint().items())]
-    now = spark.createDataFrame(current, "item string, current string")
-    entries = F.concat(
-        F.array(
-            F.struct(F.lit("version").alias("item"), F.col("version").alias("saved")),
-            F.struct(F.lit("features").alias("item"), F.array_join("features", ",").alias("saved")),
-        ),
-        F.transform(
-            F.map_entries("config"),
-            lambda e: F.struct(e["key"].alias("item"), e["value"].cast("string").alias("saved")),
+def compatibility(events: DataFrame, cfg: DetectorConfig, model_id: str | None = None) -> DataFrame:
+    """``(model_id, item, saved, current)`` for each entry in which a saved model differs."""
+    saved_rows = events.filter(F.col("event") == "candidate")
+    if model_id is not None:
+        saved_rows = saved_rows.filter(F.col("model_id") == model_id)
+    current = {"version": ENGINE_VERSION, "features": ",".join(FEATURE_COLUMNS)}
+    current.update({k: str(v) for k, v in cfg.fingerprint().items()})
+    now = F.create_map(*[F.lit(text) for pair in sorted(current.items()) for text in pair])
+    saved = F.map_concat(
+        F.create_map(
+            F.lit("version"), F.col("version"),
+            F.lit("features"), F.array_join("features", ","),
         ),
+        F.transform_values("config", lambda _, v: v.cast("string")),
     )
-    before = saved.select(F.inline(entries))
-    return before.join(F.broadcast(now), "item", "full").filter(
-        ~F.col("saved").eqNullSafe(F.col("current"))
+    both = saved_rows.select("model_id", saved.alias("saved"), now.alias("current"))
+    items = F.array_union(F.map_keys("saved"), F.map_keys("current"))
+    entry = both.select("*", F.explode(items).alias("item")).select(
+        "model_id", "item",
+        F.try_element_at("saved", F.col("item")).alias("saved"),
+        F.try_element_at("current", F.col("item")).alias("current"),
     )
+    return entry.filter(~F.col("saved").eqNullSafe(F.col("current")))
 
 
 class ModelRegistry:
@@ -144,4 +146,4 @@ class ModelRegistry:
         return f"{prefix}{next_model_number(self.events()).first().next_number}"
 
     def compatibility(self, model_id: str, cfg: DetectorConfig) -> DataFrame:
-        return compatibility(self.events(), model_id, cfg)
+        return compatibility(self.events(), cfg, model_id)

@@ -145,25 +145,24 @@ def read_access_logs(
     return split_records(records)
 
 
-def to_raw_json(log: DataFrame) -> DataFrame:
-    """Flat rows -> one JSON event per row (column ``value``), for replays and tests."""
+def raw_json(log: DataFrame) -> Column:
+    """Each flat row as one JSON event, for replays and tests."""
 
     def has(name: str, default) -> Column:
         return F.col(name) if name in log.columns else F.lit(default)
 
-    return log.select(
-        F.to_json(
+    response = F.struct(
+        F.col("status").alias("status_code"),
+        F.struct(has("bytes", 0).alias("bytes")).alias("body"),
+    )
+    return F.to_json(
+        F.struct(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("@timestamp"),
+            F.struct(F.col("ip")).alias("source"),
+            F.struct("path", "query").alias("url"),
             F.struct(
-                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("@timestamp"),
-                F.struct(F.col("ip")).alias("source"),
-                F.struct("path", "query").alias("url"),
-                F.struct(
-                    F.struct(has("method", "GET").alias("method")).alias("request"),
-                    F.struct(
-                        F.col("status").alias("status_code"),
-                        F.struct(has("bytes", 0).alias("bytes")).alias("body"),
-                    ).alias("response"),
-                ).alias("http"),
-            )
-        ).alias("value")
+                F.struct(has("method", "GET").alias("method")).alias("request"),
+                response.alias("response"),
+            ).alias("http"),
+        )
     )
