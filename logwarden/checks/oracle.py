@@ -231,6 +231,9 @@ _LOG = """
     FROM (SELECT *, event_id % (SELECT count(*) FROM pages) AS pid FROM events) e
     JOIN pages p ON p.page_id = e.pid"""
 
+_WINDOW_PLAIN = ("ip", "window_ts", "n_requests", "break_count", "rare_path_count")
+_NINE = [c if c in _WINDOW_PLAIN else f"round({c}, 9) AS {c}" for c in WINDOW_COLUMNS]
+
 BLOCKS: dict[str, str] = {
     "log": _LOG,
     "dec": "SELECT *, url_decode(path) AS path_dec, url_decode(query) AS query_dec FROM log",
@@ -260,12 +263,14 @@ BLOCKS: dict[str, str] = {
     "moments_first": _moments("txt_first"),
     "totals_first": _totals("txt_first", "moments_first"),
     "features_first": _features("txt", "moments_first", "totals_first"),
+    # nine digits: engines sum in different orders, and drift bins compare for equality
+    "nine": "SELECT " + ", ".join(_NINE) + " FROM windows",
     "raw": """
     SELECT *,
       round(0.2 - 0.3 * query_encoded_ratio - 0.2 * break_ratio - 0.1 * status_500_ratio
             - 0.05 * path_rarity_max, 6) AS if_raw,
       round(-1.0 - 0.1 * entropy_z_max - 0.05 * qlen_z_max - 0.5 * status_4xx_ratio, 6) AS lof_raw
-    FROM windows""",
+    FROM nine""",
     "trained": _thresholds("raw"),
     "cuts": _cuts("trained"),
     "p95": "SELECT quantile_cont(path_rarity_max, 0.95) AS p95 FROM windows",
@@ -355,7 +360,7 @@ BLOCKS: dict[str, str] = {
     FROM knn_self n JOIN k_dist k USING (rid) JOIN density l USING (rid) GROUP BY n.qid""",
     # two-hour slices as stand-ins for models, their reviews and their history
     "model_slices": """
-    SELECT (epoch(ts - t0) // 7200)::INTEGER AS slice, count(*) AS n, min(ts) AS first_ts,
+    SELECT floor(epoch(ts - t0) / 7200)::INTEGER AS slice, count(*) AS n, min(ts) AS first_ts,
            count(*) FILTER (status = 500) AS errors, count(*) FILTER (status = 404) AS misses
     FROM log, origin GROUP BY ALL""",
     "candidates": """
@@ -367,7 +372,7 @@ BLOCKS: dict[str, str] = {
     FROM candidates WHERE misses % 3 <> 0""",
     "reviewed": "SELECT c.*, d.status AS analyst_status FROM candidates c LEFT JOIN decisions d USING (model_id)",
     "history": """
-    SELECT slice * 2 + 1 AS seq, 'model_' || slice AS model_id, 'candidate' AS event, first_ts AS at,
+    SELECT slice * 2 + 1 AS seq, 'model_' || slice AS model_id, 'candidate' AS event, first_ts AS "at",
            n, errors, misses FROM model_slices
     UNION ALL
     SELECT slice * 2 + 2, 'model_' || slice,
@@ -397,7 +402,6 @@ def rounded(columns, plain=()) -> str:
     return ", ".join([*plain, *[f"round({c}, 6) AS {c}" for c in columns]])
 
 
-_WINDOW_PLAIN = ("ip", "window_ts", "n_requests", "break_count", "rare_path_count")
 _WINDOW_DOUBLES = tuple(c for c in WINDOW_COLUMNS if c not in _WINDOW_PLAIN)
 WINDOW_SELECT = rounded(_WINDOW_DOUBLES, _WINDOW_PLAIN)
 _STATS = tuple(f"{m}_{p}" for m in _MEASURES for p in ("mean", "std"))
@@ -478,7 +482,7 @@ SELECTS: dict[str, str] = {
     "f8_sampled_paths": "SELECT path_norm, cnt AS n FROM moments WHERE cnt >= 20",
     "f9_training_size": f"""
         SELECT slice, count(*) AS n_windows, count(*) >= 10 AS trainable FROM (
-          SELECT (epoch(ts - t0) // {SLICE_HOURS * 3600})::INTEGER AS slice, ip, date_trunc('hour', ts) AS w
+          SELECT floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice, ip, date_trunc('hour', ts) AS w
           FROM log, origin GROUP BY ALL HAVING count(*) >= 20) GROUP BY slice""",
     "j1_path_popularity_join": "SELECT event_id, path_cnt FROM features_first",
     "j2_path_baseline_join": "SELECT event_id, " + ", ".join(f"round(base_{c}, 6) AS base_{c}" for c in _STATS) + " FROM features_first",
@@ -503,13 +507,14 @@ SELECTS: dict[str, str] = {
     "a15_histogram": "SELECT name, bin::INTEGER AS bin, cnt FROM f_hist_new",
     "a16_decile_edges": "SELECT name, i::INTEGER AS i, round(edges[i], 6) AS edge FROM (SELECT name, edges, unnest(range(1, len(edges) + 1)) AS i FROM f_edges)",
     "w1_hour_bucket": "SELECT event_id, date_trunc('hour', ts) AS window_ts FROM log",
-    "w2_anchored_slices": f"SELECT event_id, (epoch(ts - t0) // {SLICE_HOURS * 3600})::INTEGER AS slice FROM log, origin",
+    "w2_anchored_slices": f"SELECT event_id, floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice FROM log, origin",
     "w3_request_rank": "SELECT event_id, row_number() OVER (PARTITION BY ip, window_ts ORDER BY url_score DESC, ts, event_id)::INTEGER AS request_rank FROM evidence",
     "w4_distinct_urls": "SELECT ip, window_ts, url, round(url_score, 6) AS url_score, first_ts FROM urls",
     "w5_top_urls": "SELECT ip, window_ts, url, url_rank::INTEGER AS url_rank FROM urls WHERE url_rank <= 3",
     "w6_active_model": "SELECT arg_max(model_id, seq) AS model_id FROM history WHERE event IN ('approved', 'rolled_back')",
     "o1_alert_order": "SELECT ip, window_ts, fused_score, break_count FROM alerts",
-    "o2_newest_models": "SELECT model_id, at AS created_at FROM history WHERE event = 'candidate'",
+    "o2_newest_models": """
+        SELECT model_id, "at" AS created_at FROM history WHERE event = 'candidate'""",
     "o3_history_append": "SELECT ts::DATE AS dt, count(*) AS n FROM log GROUP BY ALL",
     "o4_time_order": "SELECT event_id, ts FROM log",
     "m1_scale": "SELECT row_key, name AS feature, round(x, 6) AS x FROM (SELECT * FROM scaled) UNPIVOT (x FOR name IN (" + ", ".join(FEATURE_COLUMNS) + "))",
@@ -534,12 +539,14 @@ SELECTS: dict[str, str] = {
     "d7_promotion_safe": _decide("CASE WHEN drift_score <= 0.85 THEN 'promote' ELSE 'reject' END"),
     "d7_promotion_table": _decide("CASE analyst_status WHEN 'APPROVED' THEN 'promote' WHEN 'REJECTED' THEN 'reject' ELSE 'pending' END"),
     "r5_active_model": "SELECT arg_max(model_id, seq) AS model_id FROM history WHERE event IN ('approved', 'rolled_back')",
-    "r6_model_list": "SELECT model_id, arg_max(event, seq) AS status, min(at) AS created_at FROM history WHERE event IN ('candidate', 'approved', 'rejected', 'rolled_back') GROUP BY model_id",
+    "r6_model_list": """
+        SELECT model_id, arg_max(event, seq) AS status, min("at") AS created_at FROM history
+        WHERE event IN ('candidate', 'approved', 'rejected', 'rolled_back') GROUP BY model_id""",
     "r7_next_model_number": "SELECT count(DISTINCT model_id) + 1 AS next_number FROM history WHERE event = 'candidate'",
     "r8_compatibility": "SELECT model_id, 'alert_pct' AS item, (90.0 + misses % 3)::DOUBLE::VARCHAR AS saved, '95.0' AS current FROM history WHERE event = 'candidate'",
     "t5_event_time_windows": f"SELECT {WINDOW_SELECT} FROM windows, origin WHERE window_ts + INTERVAL 1 HOUR <= t1 - INTERVAL 10 MINUTE",
     "t7_ready_windows": f"""
-        SELECT slice, n FROM (SELECT (epoch(ts - t0) // {SLICE_HOURS * 3600})::INTEGER AS slice, count(*) AS n
+        SELECT slice, n FROM (SELECT floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice, count(*) AS n
           FROM log, origin GROUP BY ALL), origin
         WHERE slice > 0 AND t0 + (slice + 1) * INTERVAL {SLICE_HOURS} HOUR <= t1""",
     "t10_alert_filters": "SELECT ip, window_ts, url, url_rank::INTEGER AS url_rank FROM alerts JOIN urls USING (ip, window_ts) WHERE severity <> 'LOW' AND status_500_ratio > 0 AND relative_score >= 0.1 AND url_rank <= 5",

@@ -103,7 +103,12 @@ def _keyed(spark, sf) -> DataFrame:
 
 
 def _raw(spark, sf) -> DataFrame:
-    """Windows with raw scores that plain SQL can also compute."""
+    """Windows with raw scores that plain SQL can also compute.
+
+    Features to nine digits: engines add in different orders, and drift bins
+    compare values for equality.
+    """
+    windows = _rounded(_windows(spark, sf), 9)
     if_raw = (
         F.lit(0.2) - 0.3 * F.col("query_encoded_ratio") - 0.2 * F.col("break_ratio")
         - 0.1 * F.col("status_500_ratio") - 0.05 * F.col("path_rarity_max")
@@ -112,7 +117,7 @@ def _raw(spark, sf) -> DataFrame:
         F.lit(-1.0) - 0.1 * F.col("entropy_z_max") - 0.05 * F.col("qlen_z_max")
         - 0.5 * F.col("status_4xx_ratio")
     )
-    return _windows(spark, sf).withColumns(
+    return windows.withColumns(
         {"if_raw": F.round(if_raw, 6), "lof_raw": F.round(lof_raw, 6)}
     )
 
@@ -174,14 +179,21 @@ def _library(spark, sf) -> J.Library:
     return _once(spark, sf, "library", build)
 
 
-def _six(df: DataFrame, *plain: str) -> DataFrame:
-    """All doubles to six digits, other columns as they are."""
+def _rounded(df: DataFrame, digits: int, *wanted: str) -> DataFrame:
+    """Doubles to ``digits``, other columns as they are."""
     kinds = dict(df.dtypes)
     return df.select(
-        *[F.round(c, 6).alias(c) if kinds[c] == "double" else F.col(c) for c in plain or df.columns]
+        *[
+            F.round(c, digits).alias(c) if kinds[c] == "double" else F.col(c)
+            for c in wanted or df.columns
+        ]
     )
 
 
+def _six(df: DataFrame, *wanted: str) -> DataFrame:
+    return _rounded(df, 6, *wanted)
+
+
 def _ntz(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c, kind in df.dtypes if kind == "timestamp"}

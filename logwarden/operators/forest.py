@@ -48,6 +48,10 @@ def tree_samples(scaled: DataFrame, keys: list[str], n_rows: int, cfg: DetectorC
     picked = scaled.select(key_hash.alias("key_hash"), *keys, "x").select(
         *keys, "x", F.inline(F.filter(draws, lambda d: d["draw"] <= F.lit(cut)))
     )
+    # a fixed number of partitions: the rows are few, but growing the trees is the
+    # work, so they must not be coalesced into one task
+    tasks = min(cfg.trees, scaled.sparkSession.sparkContext.defaultParallelism)
+    picked = picked.repartition(tasks, "tree_id")
     order = W.partitionBy("tree_id").orderBy("draw", *keys)
     return (
         picked.withColumn("rank", F.row_number().over(order))
