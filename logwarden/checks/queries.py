@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ENGINE_VERSION, FEATURE_COLUMNS, DetectorConfig
@@ -57,8 +58,14 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable):
 
 
 def query(function):
-    _queries[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark, sf_dir):
+        # the derived log is in UTC, and so are the JSON events written from it
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return function(spark, sf_dir)
+
+    _queries[function.__name__] = run
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

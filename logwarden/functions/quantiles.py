@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Up to this many values per group the built-in aggregate runs in one task.
-ONE_TASK_ROWS = 500_000
+ONE_TASK_ROWS = 100_000
 _BUCKETS = 64
 
 

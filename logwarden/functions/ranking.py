@@ -30,11 +30,16 @@ def rank_within(
     sample = (
         placed.select("_place").orderBy(F.xxhash64("_place"), "_place").limit(_SPLITS).collect()
     )
-    place_type = placed.schema["_place"].dataType
-    splits = df.sparkSession.createDataFrame([(sorted(r._place for r in sample),)], "splits array<%s>" % place_type.simpleString())
-    sliced = placed.withColumn(
-        "_slice",
-        F.size(F.filter(splits.select("splits").scalar(), lambda s: s < F.col("_place"))),
+    kind = placed.schema["_place"].dataType.simpleString()
+    splits = df.sparkSession.createDataFrame(
+        [(1, sorted(r._place for r in sample))], f"_one int, _splits array<{kind}>"
+    )
+    slice_of = F.size(F.filter("_splits", lambda s: s < F.col("_place")))
+    sliced = (
+        placed.withColumn("_one", F.lit(1))
+        .join(F.broadcast(splits), "_one")
+        .withColumn("_slice", slice_of)
+        .drop("_one", "_splits")
     )
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_size"))
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)

@@ -39,7 +39,9 @@ def bin_counts(
 ) -> DataFrame:
     """``(name, bin, old, new)``: both samples over the old one's bins, empty bins as 0."""
     old_long, new_long = unpivot(old, columns), unpivot(new, columns)
-    edges = bin_edges(old_long, buckets)
+    # one short row per column name: pinned, so all three uses share one evaluation
+    pinned = [(r.name, r.edges) for r in bin_edges(old_long, buckets).collect()]
+    edges = old.sparkSession.createDataFrame(pinned, "name string, edges array<double>")
     counts = edges.filter(F.size("edges") >= 3).select(
         "name", F.explode(F.sequence(F.lit(1), F.size("edges") - 1)).alias("bin")
     )

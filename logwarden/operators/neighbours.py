@@ -45,11 +45,10 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _nearest(queries: pd.DataFrame, reference: dict, k: int) -> pd.DataFrame:
     """The k nearest reference rows of each query, ties by rid (reference is rid-sorted)."""
-    out = []
     x = np.vstack(queries["x"].to_numpy())
-    qid = queries["qid"].to_numpy()
     reach = queries["reach"].to_numpy() if "reach" in queries else np.full(len(x), np.inf)
     block = max(1, 4_000_000 // max(len(reference["rid"]), 1))
+    rows, cols, dists = [], [], []
     for at in range(0, len(x), block):
         d = _distances(x[at : at + block], reference["x"])
         limit = reach[at : at + block]
@@ -60,20 +59,18 @@ def _nearest(queries: pd.DataFrame, reference: dict, k: int) -> pd.DataFrame:
         row, col = row[order], col[order]
         first = np.searchsorted(row, np.arange(len(d)))
         keep = np.arange(len(row)) - first[row] < k
-        row, col = row[keep], col[keep]
-        out.append(
-            pd.DataFrame(
-                {
-                    "qid": qid[at : at + block][row],
-                    "rid": reference["rid"][col],
-                    "distance": d[row, col],
-                    "weight": reference["weight"][col],
-                    "k_dist": reference["k_dist"][col],
-                    "lrd": reference["lrd"][col],
-                }
-            )
-        )
-    return pd.concat(out, ignore_index=True)
+        rows.append(row[keep] + at)
+        cols.append(col[keep])
+        dists.append(d[row[keep], col[keep]])
+    row, col = np.concatenate(rows), np.concatenate(cols)
+    return pd.DataFrame(
+        {
+            "qid": queries["qid"].to_numpy()[row],
+            "rid": reference["rid"][col],
+            "distance": np.concatenate(dists),
+            **{c: reference[c][col] for c in ("weight", "k_dist", "lrd")},
+        }
+    )
 
 
 def _as_arrays(points: pd.DataFrame) -> dict:
@@ -85,7 +82,9 @@ def _as_arrays(points: pd.DataFrame) -> dict:
 
 
 def _empty() -> pd.DataFrame:
-    return pd.DataFrame({part.split()[0]: [] for part in _PAIR.split(", ")})
+    kinds = {"string": "object", "double": "float64", "bigint": "int64"}
+    parts = [part.split() for part in _PAIR.split(", ")]
+    return pd.DataFrame({name: pd.Series(dtype=kinds[kind]) for name, kind in parts})
 
 
 def take_nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -221,6 +220,8 @@ def _by_cells(queries: DataFrame, reference: DataFrame, n_rows: int, k: int) ->
                 visit = (d - reach_of <= reach[:, None]) & (bisector <= reach[:, None] + _SLACK)
                 visit &= usable & (np.arange(len(centre)) != home_cell[:, None])
                 row, cell = np.nonzero(visit)
+                if len(row) == 0:
+                    continue
                 yield pd.DataFrame(
                     {
                         "qid": part["qid"].to_numpy()[row],

@@ -20,7 +20,13 @@ from ..schemas import DECISION
 from ..session import staging_path
 from ..sources.access_logs import read_access_logs
 from ..sources.alert_sink import save_alerts
-from ..sources.log_table import slice_starts, time_bounds, time_range
+from ..sources.log_table import (
+    append_records,
+    read_log_table,
+    slice_starts,
+    time_bounds,
+    time_range,
+)
 from .model import Model, ModelStore, TooFewWindows, train_and_register
 from .registry import ModelRegistry
 from .scoring import score_batch
@@ -69,12 +75,24 @@ def score_with_active(
     return score_batch(requests, model, cfg, **options)
 
 
+def ingest(spark: SparkSession, path: str, log_table: str, layout: str = "auto") -> DataFrame:
+    """Parse JSON logs once into the day-partitioned log table, and read that."""
+    good, _ = read_access_logs(spark, path, layout)
+    append_records(good, log_table)
+    return read_log_table(spark, log_table)
+
+
 def score_file(
-    spark: SparkSession, path: str, library: Library, cfg: DetectorConfig, out: str | None = None
+    spark: SparkSession, path: str, library: Library, cfg: DetectorConfig,
+    out: str | None = None, log_table: str | None = None,
 ) -> DataFrame:
-    """Score a log file or folder; with ``out``, also write the alerts."""
-    good, _ = read_access_logs(spark, path)
-    alerts = score_with_active(good, library, cfg)
+    """Score a log file or folder; with ``out``, also write the alerts.
+
+    Scoring reads the requests twice (features, then the URLs of flagged windows).
+    With ``log_table`` the JSON is parsed once and both passes read columns.
+    """
+    requests = ingest(spark, path, log_table) if log_table else read_access_logs(spark, path)[0]
+    alerts = score_with_active(requests, library, cfg)
     if out:
         save_alerts(alerts, out)
     return alerts

@@ -8,6 +8,7 @@ for the next batch, and a file shorter than its offset is read again from 0.
 from __future__ import annotations
 
 import glob
+import json
 import os
 from dataclasses import dataclass
 
@@ -41,13 +42,14 @@ def _last_line_end(path: str, floor: int) -> int:
 class AppendedFileReader(DataSourceStreamReader):
     def __init__(self, options):
         self.pattern = options["path"]
-        self.range_bytes = int(options.get("rangebytes", 64 * 1024 * 1024))
+        self.range_bytes = int(options.get("rangeBytes", 64 * 1024 * 1024))
+        self.start = json.loads(options.get("startOffsets", "{}"))
 
     def _files(self) -> list[str]:
         return sorted(p for p in glob.glob(self.pattern) if os.path.isfile(p))
 
     def initialOffset(self) -> dict:
-        return {}
+        return self.start
 
     def latestOffset(self) -> dict:
         return {path: _last_line_end(path, 0) for path in self._files()}
@@ -95,9 +97,19 @@ class AppendedFileSource(DataSource):
         return AppendedFileReader(self.options)
 
 
-def read_appended_file(spark, pattern: str, range_bytes: int | None = None):
+def current_offsets(pattern: str) -> dict[str, int]:
+    """End of the last whole line of every matching file, as a start position."""
+    return AppendedFileReader({"path": pattern}).latestOffset()
+
+
+def read_appended_file(
+    spark, pattern: str, range_bytes: int | None = None, start: dict[str, int] | None = None
+):
+    """Column ``value``. ``start`` counts only for a query without a checkpoint yet."""
     spark.dataSource.register(AppendedFileSource)
     reader = spark.readStream.format("appended_file").option("path", pattern)
     if range_bytes:
         reader = reader.option("rangeBytes", str(range_bytes))
+    if start:
+        reader = reader.option("startOffsets", json.dumps(start))
     return reader.load()

@@ -12,17 +12,16 @@ from ..config import DetectorConfig
 from ..operators.features import request_features, shape_rollup, time_window, window_rollup
 from ..plans.model import Model
 from ..plans.scoring import alerts_for, flagged_windows, score_batch
-from ..plans.workflows import Library
+from ..plans.workflows import Library, ingest, prepare_history
 from ..sources.access_logs import flatten, is_good, parse_lines
 from ..sources.alert_sink import append_alerts
+from ..sources.appended_file import current_offsets, read_appended_file
 from ..sources.log_table import append_records
 
 log = logging.getLogger(__name__)
 
 
-def stream_directory(
-    spark: SparkSession, path: str, max_files: int | None = 1, sort_by_time: bool = True
-) -> DataFrame:
+def stream_directory(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
     """Parsed records of each new file of a folder; the checkpoint keeps what was seen."""
     reader = spark.readStream.format("text").option("latestFirst", "false")
     if max_files:
@@ -80,6 +79,25 @@ def score_microbatches(
     return _start(records, guarded(handle, quarantine), checkpoint, trigger)
 
 
+def follow_file(
+    spark: SparkSession, pattern: str, library: Library, cfg: DetectorConfig, out: str,
+    checkpoint: str, log_table: str, history: str = "auto", mode: str = "safe", **options,
+):
+    """Catch up on what the growing file already holds, then score what is appended.
+
+    A checkpoint decides where a restarted query goes on; ``start`` only serves the
+    first run, which begins behind the lines the history step has used.
+    """
+    start = current_offsets(pattern)
+    fresh = library.registry.active_id() is None
+    if fresh or history == "replay":
+        prepare_history(
+            ingest(spark, pattern, log_table, "ndjson"), library, cfg, history, mode=mode
+        )
+    records = flatten(parse_lines(read_appended_file(spark, pattern, start=start)))
+    return score_microbatches(records, library, cfg, out, checkpoint, log_table, **options)
+
+
 def streaming_windows(
     records: DataFrame, model: Model, cfg: DetectorConfig, delay: str = "10 minutes"
 ) -> DataFrame:
