@@ -234,6 +234,8 @@ _LOG = """
 _WINDOW_PLAIN = ("ip", "window_ts", "n_requests", "break_count", "rare_path_count")
 _NINE = [c if c in _WINDOW_PLAIN else f"round({c}, 9) AS {c}" for c in WINDOW_COLUMNS]
 
+_MIDDLE = "t0 + to_seconds(floor(epoch(t1 - t0) / 2)::BIGINT)"
+
 BLOCKS: dict[str, str] = {
     "log": _LOG,
     "dec": "SELECT *, url_decode(path) AS path_dec, url_decode(query) AS query_dec FROM log",
@@ -306,8 +308,8 @@ BLOCKS: dict[str, str] = {
     FROM (SELECT ip, window_ts, url, max(url_score) AS url_score,
                  arg_min(ts, (-url_score, ts)) AS first_ts
           FROM evidence GROUP BY ALL)""",
-    "old_rows": f"SELECT raw.* FROM raw, origin WHERE window_ts < t0 + INTERVAL {SLICE_HOURS} HOUR",
-    "new_rows": f"SELECT raw.* FROM raw, origin WHERE window_ts >= t0 + INTERVAL {SLICE_HOURS} HOUR",
+    "old_rows": f"SELECT raw.* FROM raw, origin WHERE window_ts < {_MIDDLE}",
+    "new_rows": f"SELECT raw.* FROM raw, origin WHERE window_ts >= {_MIDDLE}",
     "old_trained": _thresholds("old_rows"),
     "new_trained": _thresholds("new_rows"),
     "old_cuts": _cuts("old_trained"),

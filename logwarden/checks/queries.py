@@ -162,10 +162,13 @@ def _urls(spark, sf, n=None) -> DataFrame:
 
 
 def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Windows of the first 12 hours, and the later ones."""
+    """Windows of the first half of the log's time span, and the later ones."""
     raw = _raw(spark, sf)
-    origin = access_log(spark, sf).agg(F.min("ts").alias("t")).scalar()
-    early = F.col("window_ts") < origin + F.expr("INTERVAL 12 HOURS")
+    log = access_log(spark, sf)
+    seconds = [F.unix_seconds(f("ts").cast("timestamp")) for f in (F.min, F.max)]
+    half = F.make_dt_interval(secs=F.floor((seconds[1] - seconds[0]) / 2).cast("int"))
+    middle = log.agg((F.min("ts") + half).alias("t")).scalar()
+    early = F.col("window_ts") < middle
     return raw.filter(early), raw.filter(~early)
 
 

@@ -24,6 +24,13 @@ MEASURES = {
 }
 
 
+PROFILE_TOTALS = (
+    "total",
+    "common_cutoff",
+    *(f"{name}_{part}" for name in MEASURES for part in ("mean", "std")),
+)
+
+
 @dataclass
 class PathProfile:
     """``paths``: one row per template. ``totals``: one row, as plain numbers."""

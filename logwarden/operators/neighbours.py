@@ -264,14 +264,16 @@ def _density(neighbours: DataFrame, k: int):
 
 
 def fit_lof(
-    points: DataFrame, n_rows: int, k: int, ship_rows: int = SHIP_ROWS
+    points: DataFrame, n_rows: int, k: int, ship_rows: int = SHIP_ROWS, save=None
 ) -> tuple[DataFrame, DataFrame]:
     """Reference table ``(rid, x, weight, k_dist, lrd)`` and raw training scores.
 
     ``points`` comes from ``weighted_points``; ``n_rows`` counts the rows behind it.
     One neighbour join serves both: without self pairs for the fit, with them for
-    the scores of the training rows as new points.
+    the scores of the training rows as new points. ``save`` stores the reference
+    table and gives it back; by default it goes to the staging folder.
     """
+    save = save or (lambda df: stage(df, "lof-reference"))
     k = max(1, min(k, n_rows - 1))
     pairs = stage(
         knn_join(points.select(F.col("rid").alias("qid"), "x"), points, k + 1, ship_rows).drop(
@@ -282,11 +284,11 @@ def fit_lof(
     own = F.col("qid") == F.col("rid")
     others = pairs.withColumn("weight", F.col("weight") - own.cast("int")).filter("weight > 0")
     others = take_nearest(others, k)
-    k_dist = stage(others.groupBy("qid").agg(F.max("distance").alias("k_dist")), "lof-kdist")
+    k_dist = others.groupBy("qid").agg(F.max("distance").alias("k_dist"))
     neighbour_k = k_dist.withColumnRenamed("qid", "rid")
     density = others.join(neighbour_k, "rid").groupBy("qid").agg(_density(others, k).alias("lrd"))
     learned = k_dist.join(density, "qid").withColumnRenamed("qid", "rid")
-    reference = stage(points.join(learned, "rid"), "lof-reference")
+    reference = save(points.join(learned, "rid"))
     scored = take_nearest(pairs, k).join(reference.select("rid", "k_dist", "lrd"), "rid")
     return reference, lof_raw(scored, k)
 

@@ -38,6 +38,8 @@ def fuse(if_score: Column, lof_score: Column, known_share: Column) -> Column:
 def score_bounds(raw: DataFrame, cfg: DetectorConfig) -> tuple[float, float, float, float]:
     low, high = cfg.score_low_pct / 100.0, cfg.score_high_pct / 100.0
     got = percentile_values(raw, {"if_raw": [low, high], "lof_raw": [low, high]})
+    if not got:
+        raise ValueError("no training scores to calibrate on")
     return got["if_raw", low], got["if_raw", high], got["lof_raw", low], got["lof_raw", high]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import FEATURE_COLUMNS, DetectorConfig
 from ..functions.quantiles import percentile_values
 from ..functions.text import with_request_text
-from ..operators.baselines import PathProfile, build_profile, path_moments
+from ..operators.baselines import PROFILE_TOTALS, PathProfile, build_profile, path_moments
 from ..operators.features import entity_windows, request_features
 from ..operators.forest import fit_forest, forest_scorer
 from ..operators.neighbours import fit_lof, score_lof, weighted_points
@@ -61,7 +61,7 @@ class ModelStore:
 
     def load(self, model_id: str) -> Model:
         scalars = self.read("scalars", model_id).first().asDict()
-        totals = self.read("totals", model_id).first().asDict()
+        totals = {name: scalars[name] for name in PROFILE_TOTALS}
         try:
             training = self.read("training", model_id)
         except Exception:  # a model without its drift reference can still score
@@ -105,8 +105,10 @@ def train_model(
     forest = store.write("forest", model_id, fit_forest(scaled, ["row_key"], n_rows, cfg))
 
     points = stage(weighted_points(scaled), "lof-points")
-    reference, lof_scores = fit_lof(points, n_rows, cfg.neighbours)
-    reference = store.write("lof_reference", model_id, reference)
+    reference, lof_scores = fit_lof(
+        points, n_rows, cfg.neighbours,
+        save=lambda df: store.write("lof_reference", model_id, df),
+    )
     by_vector = points.join(lof_scores.withColumnRenamed("qid", "rid"), "rid")
     if_raw = forest_scorer(forest, min(cfg.tree_sample, n_rows))
     raw = (
@@ -127,9 +129,9 @@ def train_model(
         **{c: float(getattr(calibration, c)) for c in _CALIBRATION},
         "rarity_p95": float(rarity_p95),
         "n_train_windows": n_rows,
+        **profile.totals,
     }
-    store.write("scalars", model_id, spark.createDataFrame([scalars]))
-    store.write("totals", model_id, spark.createDataFrame([profile.totals]))
+    store.write("scalars", model_id, spark.createDataFrame([scalars]).coalesce(1))
     return Model(
         model_id, profile, scaler, forest, reference, calibration, rarity_p95, n_rows, training
     )
