@@ -360,6 +360,18 @@ BLOCKS: dict[str, str] = {
     SELECT n.qid AS row_key,
            -avg(l.lrd) / (1.0 / (avg(greatest(k.k_dist, n.d)) + 1e-10)) AS lof_raw
     FROM knn_self n JOIN k_dist k USING (rid) JOIN density l USING (rid) GROUP BY n.qid""",
+    "recent_features": "SELECT features.* FROM features, origin WHERE ts >= t1 - INTERVAL 4 HOUR",
+    "recent_windows": _windows("recent_features"),
+    "slices": f"""
+    SELECT floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice, count(*) AS n
+    FROM log, origin GROUP BY ALL""",
+    "slice_windows": f"""
+    SELECT slice, count(*) AS n_windows FROM (
+      SELECT floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice, ip, date_trunc('hour', ts) AS w
+      FROM log, origin GROUP BY ALL HAVING count(*) >= 20) GROUP BY slice""",
+    "complete": f"""
+    SELECT slice, n FROM slices, origin
+    WHERE t0 + (slice + 1) * INTERVAL {SLICE_HOURS} HOUR <= t1""",
     # two-hour slices as stand-ins for models, their reviews and their history
     "model_slices": """
     SELECT floor(epoch(ts - t0) / 7200)::INTEGER AS slice, count(*) AS n, min(ts) AS first_ts,
@@ -482,10 +494,7 @@ SELECTS: dict[str, str] = {
     "f6_time_range": "SELECT event_id, ts FROM log WHERE ts >= TIMESTAMP '2024-01-01 06:00:00' AND ts < TIMESTAMP '2024-01-01 18:00:00'",
     "f7_retention": f"SELECT event_id, ts FROM log, origin WHERE ts >= t1 - INTERVAL {SLICE_HOURS} HOUR",
     "f8_sampled_paths": "SELECT path_norm, cnt AS n FROM moments WHERE cnt >= 20",
-    "f9_training_size": f"""
-        SELECT slice, count(*) AS n_windows, count(*) >= 10 AS trainable FROM (
-          SELECT floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice, ip, date_trunc('hour', ts) AS w
-          FROM log, origin GROUP BY ALL HAVING count(*) >= 20) GROUP BY slice""",
+    "f9_training_size": "SELECT slice, n_windows, n_windows >= 10 AS trainable FROM slice_windows",
     "j1_path_popularity_join": "SELECT event_id, path_cnt FROM features_first",
     "j2_path_baseline_join": "SELECT event_id, " + ", ".join(f"round(base_{c}, 6) AS base_{c}" for c in _STATS) + " FROM features_first",
     "j3_model_scalars": "SELECT ip, window_ts, round(t1, 6) AS fused_threshold, round(t2, 6) AS catastrophic_threshold, round(p95, 6) AS rarity_p95 FROM windows CROSS JOIN cuts CROSS JOIN p95",
@@ -547,10 +556,23 @@ SELECTS: dict[str, str] = {
     "r7_next_model_number": "SELECT count(DISTINCT model_id) + 1 AS next_number FROM history WHERE event = 'candidate'",
     "r8_compatibility": "SELECT model_id, 'alert_pct' AS item, (90.0 + misses % 3)::DOUBLE::VARCHAR AS saved, '95.0' AS current FROM history WHERE event = 'candidate'",
     "t5_event_time_windows": f"SELECT {WINDOW_SELECT} FROM windows, origin WHERE window_ts + INTERVAL 1 HOUR <= t1 - INTERVAL 10 MINUTE",
-    "t7_ready_windows": f"""
-        SELECT slice, n FROM (SELECT floor(epoch(ts - t0) / {SLICE_HOURS * 3600})::INTEGER AS slice, count(*) AS n
-          FROM log, origin GROUP BY ALL), origin
-        WHERE slice > 0 AND t0 + (slice + 1) * INTERVAL {SLICE_HOURS} HOUR <= t1""",
+    "t7_ready_windows": "SELECT slice, n FROM complete WHERE slice > 0",
+    "r1_register_candidate": "SELECT 'model_v' || (slice + 1) AS model_id, n_windows AS n_train_windows FROM slice_windows",
+    "r2_approve": "SELECT 'model_v' || (slice + 1) AS model_id FROM slice_windows WHERE slice % 2 = 0",
+    "r3_reject": "SELECT 'model_v' || (slice + 1) AS model_id FROM slice_windows WHERE slice % 2 = 1",
+    "r4_rollback": "SELECT 'model_v1' AS model_id FROM slice_windows WHERE slice = 0",
+    "t1_bootstrap": "SELECT 'model_v1' AS model_id, 'approved' AS status, count(*) AS n_train_windows FROM windows",
+    "t3_backtest": """
+        SELECT slice, n AS n_records, CASE WHEN slice > 0 THEN 'model_v' || slice END AS scored_by,
+               'model_v' || (slice + 1) AS trained FROM slices""",
+    "t3_backtest_two_behind": """
+        SELECT slice, n AS n_records, CASE WHEN slice > 1 THEN 'model_v' || (slice - 1) END AS scored_by,
+               CASE WHEN slice > 0 THEN 'model_v' || slice END AS trained FROM slices""",
+    "t6_late_data": f"SELECT {WINDOW_SELECT} FROM recent_windows, origin WHERE window_ts + INTERVAL 1 HOUR <= t1 - INTERVAL 10 MINUTE",
+    "t8_retrain": "SELECT slice, 'model_v' || (slice + 1) AS model_id, 'promote' AS decision FROM complete",
+    "t9_start_mode": """
+        SELECT a.attempt, a.mode, 'model_v' || count(*) AS active_model
+        FROM slices CROSS JOIN (VALUES (1, 'replay'), (2, 'resume')) a(attempt, mode) GROUP BY ALL""",
     "t10_alert_filters": "SELECT ip, window_ts, url, url_rank::INTEGER AS url_rank FROM alerts JOIN urls USING (ip, window_ts) WHERE severity <> 'LOW' AND status_500_ratio > 0 AND relative_score >= 0.1 AND url_rank <= 5",
 }
 

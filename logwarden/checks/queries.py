@@ -1055,40 +1055,41 @@ def d7_promotion_table(spark, sf):
 
 
 def _registry_run(spark, sf) -> DataFrame:
-    """Every status change on one root, for models named after the log's days."""
+    """A model per training slice: even ones approved, odd ones rejected, then a
+    rollback to the first."""
 
     def build():
         registry = R.ModelRegistry(spark, staging_path(spark, "registry"))
-        days = access_log(spark, sf).select(F.to_date("ts").alias("d")).distinct().count()
-        for _ in range(days + 2):
-            registry.register(registry.next_model_id(), CFG, n_train_windows=days)
-        registry.approve("model_v1")
-        registry.approve("model_v2")
-        registry.reject("model_v3")
+        for row in f9_training_size(spark, sf).orderBy("slice").collect():
+            model_id = registry.next_model_id()
+            registry.register(model_id, CFG, n_train_windows=row.n_windows)
+            if row.slice % 2 == 0:
+                registry.approve(model_id)
+            else:
+                registry.reject(model_id)
         registry.rollback("model_v1")
         return registry
 
     return _once(spark, sf, "registry", build)
 
 
-def _status_of(spark, sf, status: str) -> DataFrame:
-    models = _registry_run(spark, sf).models()
-    return models.filter(F.col("status") == status).select("model_id", "status", "n_train_windows")
+def _events(spark, sf, event: str) -> DataFrame:
+    return _registry_run(spark, sf).events().filter(F.col("event") == event)
 
 
 @query
 def r1_register_candidate(spark, sf):
-    return _status_of(spark, sf, "candidate")
+    return _events(spark, sf, "candidate").select("model_id", "n_train_windows")
 
 
 @query
 def r2_approve(spark, sf):
-    return _status_of(spark, sf, "approved")
+    return _events(spark, sf, "approved").select("model_id")
 
 
 @query
 def r3_reject(spark, sf):
-    return _status_of(spark, sf, "rejected")
+    return _events(spark, sf, "rejected").select("model_id")
 
 
 @query
@@ -1133,7 +1134,7 @@ def t2_score_batch(spark, sf):
 def _backtest(spark, sf, lag: int) -> DataFrame:
     library = J.Library(spark, staging_path(spark, f"backtest-{lag}"))
     _, report = J.backtest(access_log(spark, sf), library, CFG, lag=lag, mode="auto")
-    return report
+    return report.select("slice", "n_records", "scored_by", "trained")
 
 
 @query
@@ -1180,15 +1181,18 @@ def t5_event_time_windows(spark, sf):
 
 @query
 def t6_late_data(spark, sf):
-    """Rows that arrive a day behind the newest ones, counted from the query's progress."""
+    """Arrivals newest first. A batch is held against the watermark of the one before
+    it, so the second arrival still counts and the third is too late."""
     folder = staging_path(spark, "t6-in")
-    lines = _raw_lines(spark, sf)
     newest = access_log(spark, sf).agg(F.max("ts").alias("t")).scalar()
-    for recent in (True, False):
-        part = lines.filter((F.col("ts") >= newest - F.expr("INTERVAL 2 HOURS")) == recent)
+    lines = _raw_lines(spark, sf)
+    fresh = F.col("ts") >= newest - F.expr("INTERVAL 2 HOURS")
+    kept = F.col("ts") >= newest - F.expr("INTERVAL 4 HOURS")
+    for part in (lines.filter(fresh), lines.filter(~fresh & kept), lines.filter(~kept)):
+        # one file per arrival
         part.select("value").coalesce(1).write.mode("append").text(folder)
-    _, run = _event_time_run(spark, sf, folder, 1)
-    return spark.range(1).select(F.lit(X.late_rows(run)).cast("bigint").alias("late_state_rows"))
+    closed, _ = _event_time_run(spark, sf, folder, 1)
+    return _six(_ntz(closed))
 
 
 @query
@@ -1205,8 +1209,8 @@ def t8_retrain(spark, sf):
     library = J.Library(spark, staging_path(spark, "retrain"))
     done = J.retrain(access_log(spark, sf), library, CFG, mode="auto", all_ready=True)
     return spark.createDataFrame(
-        [(r["slice"], r["model_id"], r["decision"], r["drift_score"]) for r in done],
-        "slice int, model_id string, decision string, drift_score double",
+        [(r["slice"], r["model_id"], r["decision"]) for r in done],
+        "slice int, model_id string, decision string",
     )
 
 

@@ -97,16 +97,15 @@ def requests_of(requests: DataFrame, windows: DataFrame, cfg: DetectorConfig) ->
 def distinct_urls(scored_requests: DataFrame) -> DataFrame:
     """One row per URL of a window: its best score and when that was first seen.
 
-    Keyed by URL too, so a window with millions of requests is spread out.
+    Keyed by URL too, so a window with millions of requests is spread out, and
+    repeats are folded before the shuffle. One URL can have two scores only when a
+    path itself holds a question mark; the second step keeps the better one.
     """
-    best = F.min(F.struct((-F.col("url_score")).alias("score"), F.col("ts").alias("ts")))
-    return (
-        scored_requests.groupBy("ip", "window_ts", "url")
-        .agg(best.alias("best"))
-        .select(
-            "ip", "window_ts", "url",
-            (-F.col("best.score")).alias("url_score"), F.col("best.ts").alias("first_ts"),
-        )
+    keys = ["ip", "window_ts", "url"]
+    per_score = scored_requests.groupBy(*keys, "url_score").agg(F.min("ts").alias("first_ts"))
+    return per_score.groupBy(*keys).agg(
+        F.max("url_score").alias("url_score"),
+        F.max_by("first_ts", "url_score").alias("first_ts"),
     )
 
 

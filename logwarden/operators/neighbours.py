@@ -109,7 +109,9 @@ def _ship(queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
             if len(batch):
                 yield _nearest(batch, shared.value, k)
 
-    return queries.mapInPandas(probe, _PAIR)
+    # few bytes but much work per row: spread over all cores, whatever the file sizes
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    return queries.repartition(cores, "qid").mapInPandas(probe, _PAIR)
 
 
 def _pivot_table(reference: DataFrame, n_rows: int) -> np.ndarray:
