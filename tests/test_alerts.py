@@ -53,11 +53,10 @@ def test_severity(spark):
     assert S.with_severity(df.limit(0), CFG).collect() == []
 
 
-def window_row(spark, **values):
-    row = {c: 0.0 for c in FEATURE_COLUMNS}
-    row.update(n_requests=40, break_count=0, rare_path_count=0)
-    row.update(values)
-    return spark.createDataFrame([row])
+def window_rows(spark, changes):
+    base = {c: 0.0 for c in FEATURE_COLUMNS}
+    base.update(n_requests=40, break_count=0, rare_path_count=0)
+    return spark.createDataFrame([{**base, **values, "id": i} for i, values in enumerate(changes)])
 
 
 RULES = {
@@ -82,14 +81,15 @@ RULES = {
 
 def test_each_signal(spark):
     general = "general statistical URL anomaly — no single dominant signal"
-    for code, (fires, holds, text) in RULES.items():
-        row = A.with_signals(window_row(spark, **fires), 2.5).first()
-        assert row.signals == [text] and row.signal_codes == [code]
-        assert A.with_signals(window_row(spark, **holds), 2.5).first().signals == [general]
+    changes = [values for fires, holds, _ in RULES.values() for values in (fires, holds)]
+    rows = A.with_signals(window_rows(spark, changes), 2.5).orderBy("id").collect()
+    for i, (code, (_, _, text)) in enumerate(RULES.items()):
+        assert rows[2 * i].signals == [text] and rows[2 * i].signal_codes == [code]
+        assert rows[2 * i + 1].signals == [general]
 
 
 def test_rarity_signal_needs_a_model(spark):
-    row = A.with_signals(window_row(spark, path_rarity_max=99.0)).first()
+    row = A.with_signals(window_rows(spark, [{"path_rarity_max": 99.0}])).first()
     assert row.signal_codes == ["general"]
 
 
