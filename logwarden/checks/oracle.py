@@ -50,7 +50,7 @@ _MEASURES = {
 }
 
 
-def _baseline_cols(floored: bool) -> str:
+def _baseline_cols() -> str:
     parts = []
     for name, (col, floor) in _MEASURES.items():
         parts.append(f"avg({col}) AS {name}_mean")
@@ -83,7 +83,7 @@ def _features(log: str, moments: str, totals: str) -> str:
 
 
 def _moments(text: str) -> str:
-    return f"SELECT path_norm, count(*) AS cnt, {_baseline_cols(True)} FROM {text} GROUP BY path_norm"
+    return f"SELECT path_norm, count(*) AS cnt, {_baseline_cols()} FROM {text} GROUP BY path_norm"
 
 
 def _totals(text: str, moments: str) -> str:
@@ -92,7 +92,7 @@ def _totals(text: str, moments: str) -> str:
       SELECT any_value(t.total) AS total,
              quantile_cont(-log10((m.cnt + 1) / (t.total + 1)), 0.5) AS common_cutoff
       FROM {moments} m CROSS JOIN (SELECT count(*) AS total FROM {text}) t) a
-    CROSS JOIN (SELECT {_baseline_cols(True)} FROM {text}) g"""
+    CROSS JOIN (SELECT {_baseline_cols()} FROM {text}) g"""
 
 
 def _windows(features: str) -> str:

@@ -26,13 +26,12 @@ FROM {e} e JOIN {p} p ON p.page_id = e.pid
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    page_count = pages.agg(F.count("*").alias("n")).scalar()
     # a few small files would leave most cores idle; many files need no extra shuffle
     cores = spark.sparkContext.defaultParallelism
-    files = len(events.inputFiles())
-    page_count = pages.agg(F.count("*").alias("n")).scalar()
+    few_files = len(events.inputFiles()) < cores
     events = events.select(
         "event_id", "user_id", "event_type", (F.col("event_id") % page_count).alias("pid")
     )
-    if files < cores:
-        events = events.repartition(cores)
-    return spark.sql(_SELECT, e=events, p=pages)
+    log = spark.sql(_SELECT, e=events, p=pages)
+    return log.repartition(cores) if few_files else log

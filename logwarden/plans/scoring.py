@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import DetectorConfig
 from ..operators.alerts import (
@@ -69,7 +68,3 @@ def score_batch(
 
 def drop_join_helpers(alerts: DataFrame) -> DataFrame:
     return alerts.drop("break_count", "url_score", "first_ts", "url_rank")
-
-
-def empty_like_alerts(alerts: DataFrame) -> DataFrame:
-    return alerts.filter(F.lit(False))
