@@ -91,6 +91,23 @@ def test_event_time_windows_join_split_batches(spark, tmp_path, library):
     assert alerts.filter("ip = '10.0.0.0'").count() == urls.count()
 
 
+def test_late_rows_are_counted(spark, tmp_path, library):
+    """A batch is held against the watermark of the one before it."""
+    for hour in (9, 8, 6):
+        write_json(traffic(spark, [hour]), tmp_path / "in")
+    windows = X.streaming_windows(
+        X.stream_directory(spark, str(tmp_path / "in")), library.active(), CFG
+    )
+    out = str(tmp_path / "out")
+    run = (
+        windows.writeStream.outputMode("append").format("parquet").option("path", out)
+        .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(**NOW).start()
+    )
+    run.awaitTermination()
+    assert X.late_rows(run) > 0
+    assert {r.window_ts.hour for r in spark.read.parquet(out).collect()} == {8}
+
+
 def lines(*numbers):
     return "".join(json.dumps({"n": n}) + "\n" for n in numbers)
 
