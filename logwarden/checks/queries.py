@@ -764,7 +764,7 @@ def w2_anchored_slices(spark, sf):
 def w3_request_rank(spark, sf):
     order = [-F.col("url_score"), F.col("ts"), F.col("event_id")]
     ranked = rank_within(_evidence(spark, sf), ["ip", "window_ts"], order, "request_rank")
-    return ranked.select("event_id", "request_rank")
+    return ranked.select("event_id", F.col("request_rank").cast("int").alias("request_rank"))
 
 
 @query

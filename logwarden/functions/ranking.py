@@ -1,53 +1,42 @@
-"""Row numbers inside groups, also when one group is too big for one task."""
+"""Row numbers inside groups, also when one group holds most of the rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ONE_TASK_ROWS = 1_000_000
-_SPLITS = 256
+from ..session import stage
 
 
-def rank_within(
-    df: DataFrame, keys: list[str], order: list[Column], name: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Add ``name`` = 1, 2, ... inside each group, by ``order`` (all ascending).
+def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Add ``name`` = 1, 2, ... (bigint) inside each group, by ``order`` (all ascending).
 
-    The largest group's size is checked first. Beyond ``one_task_rows`` the rows
-    are cut into ordered slices at a fixed number of hash-sampled split points;
-    each slice is ranked on its own and shifted by the sizes of the earlier ones.
-    ``order`` should end in a unique column; ``df`` should be stored or cheap.
+    The rows are range partitioned by (keys, order), so a large group is spread
+    over many tasks, and stored. A row's rank is its place in its partition, less
+    the place where its group starts there, plus the group's rows in earlier
+    partitions. Null keys form a group. ``order`` should end in a unique column;
+    ``df`` should be stored or cheap, because range partitioning samples it first.
     """
-    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
-    biggest = df.sparkSession.range(1).select(largest.alias("n")).first().n or 0
-    if biggest <= one_task_rows:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-
-    place = F.struct(*[F.col(k) for k in keys], *[c.alias(f"o{i}") for i, c in enumerate(order)])
-    placed = df.withColumn("_place", place)
-    sample = (
-        placed.select("_place").orderBy(F.xxhash64("_place"), "_place").limit(_SPLITS).collect()
-    )
-    kind = placed.schema["_place"].dataType.simpleString()
-    splits = df.sparkSession.createDataFrame(
-        [(1, sorted(r._place for r in sample))], f"_one int, _splits array<{kind}>"
-    )
-    slice_of = F.size(F.filter("_splits", lambda s: s < F.col("_place")))
-    sliced = (
-        placed.withColumn("_one", F.lit(1))
-        .join(F.broadcast(splits), "_one")
-        .withColumn("_slice", slice_of)
-        .drop("_one", "_splits")
+    placed = df.withColumns({f"_order{i}": c for i, c in enumerate(order)})
+    by = [*keys, *(f"_order{i}" for i in range(len(order)))]
+    spread = placed.repartitionByRange(*by).sortWithinPartitions(*by)
+    rows = stage(
+        spread.drop(*by[len(keys):]).withColumns(
+            {"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}
+        ),
+        "ranks",
     )
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_size"))
-    before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    inside = W.partitionBy(*keys, "_slice").orderBy(*order)
-    ranked = sliced.withColumn("_inside", F.row_number().over(inside))
-    return (
-        ranked.join(starts.drop("_size"), [*keys, "_slice"])
-        .withColumn(name, (F.col("_inside") + F.col("_start")).cast("int"))
-        .drop("_place", "_slice", "_inside", "_start")
+    runs = rows.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    starts = runs.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_part").alias("_run"),
+        (earlier - F.col("_first") + 1).alias("_shift"),
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    joined = rows.join(starts, reduce(Column.__and__, same, F.col("_part") == F.col("_run")))
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).alias(name))
