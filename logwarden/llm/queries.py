@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, url_rules
+from pyspark.sql import functions as F
+
+from . import (
+    chat, fingerprints, html_text, licenses, mixing, near_dedup, packing, quality, topk, url_rules
+)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,6 +41,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_near_duplicates(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, near_dedup.NearDedupConfig(shingle=4))
+
+
+@query
+def op2_format_chats(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema
+    ))
+    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    turns = chat.canonical_turns(rows.select("conv_id", "turn", record.alias("record")))
+    return chat.digest_conversations(chat.format_conversations(turns))
+
+
+@query
+def op3_exact_top_k(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op4_quality(spark, sf_dir):
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_mix_sources(spark, sf_dir):
     taken = mixing.copies(_table(spark, sf_dir, "documents"))
@@ -45,6 +83,16 @@ def op6_mix_sources(spark, sf_dir):
     )
 
 
+@query
+def op7_extract_text(spark, sf_dir):
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_phrase_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_pack_sequences(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -90,6 +138,32 @@ counted AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM counted
 """
 
+def _license_sql() -> str:
+    def canonical(text: str) -> str:
+        sql = f"lower({text})"
+        sql = f"regexp_replace({sql}, '{licenses.COPYRIGHT_LINE}', '', 'g')"
+        sql = f"regexp_replace({sql}, '[^a-z0-9]+', ' ', 'g')"
+        for spelling, used in licenses.SPELLINGS:
+            sql = f"replace({sql}, '{spelling}', '{used}')"
+        return f"trim({sql})"
+
+    rows = ", ".join(f"('{name}', '{text}')" for name, text in licenses.LICENSES)
+    return f"""
+WITH texts(license, text) AS (VALUES {rows}),
+known AS (SELECT sha256({canonical('text')}) AS digest, min(license) AS license FROM texts GROUP BY 1),
+whole AS (SELECT doc_id, text, {canonical('text')} AS canonical FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+hits AS (
+  SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses,
+    count(*) AS n_license_lines
+  FROM lines JOIN known ON sha256({canonical('line')}) = digest GROUP BY doc_id)
+SELECT whole.doc_id, CASE WHEN canonical <> '' THEN sha256(canonical) END AS text_digest,
+  known.license, line_licenses, coalesce(n_license_lines, 0) AS n_license_lines
+FROM whole LEFT JOIN hits USING (doc_id)
+LEFT JOIN known ON canonical <> '' AND known.digest = sha256(canonical)
+"""
+
+
 _URLS = r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0
@@ -114,6 +188,7 @@ FROM parts LEFT JOIN fits USING (page_id)
 """
 
 _SQL = {
+    "op5_license_scan": _license_sql(),
     "op6_mix_sources": _MIX,
     "op10_judge_urls": _URLS,
 }
