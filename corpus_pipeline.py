@@ -8,10 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logwarden.llm import mixing, packing
+from logwarden.llm import mixing, near_dedup, packing, quality
 from logwarden.session import stage
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is within their language's threshold."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates over five-word shingles."""
+    return near_dedup.deduplicate(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of each source as often as its target weight asks for."""
     return mixing.mix(docs)
@@ -23,6 +33,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("quality classifier", keep_good),
+    ("near dedup", drop_near_duplicates),
     ("mix sources", mix_sources),
     ("pack sequences", pack_sequences),
 ]
