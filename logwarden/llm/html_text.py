@@ -66,6 +66,9 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?![\w=-])", re.I)
+_RIGHTS = re.compile(r"\W*(©|copyright\b|all rights reserved)", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -159,7 +162,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         dropped, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         drops = tag in DROPPED_ELEMENTS and not (tag == "header" and article)
-        drops = drops or (tag not in ("html", "body") and "=" in attributes and _names_drop(attributes))
+        drops = drops or (tag not in ("html", "body") and bool(attributes) and _names_drop(attributes))
         stack.append((tag, dropped or drops, article or tag in ARTICLE_ELEMENTS))
         open_count[tag] += 1
         in_links += tag == "a"
@@ -168,6 +171,8 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def _names_drop(attributes: str) -> bool:
+    if "hidden" in attributes and _BARE_HIDDEN.search(_QUOTED.sub("", attributes)):
+        return True
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "style":
@@ -189,6 +194,8 @@ def label_blocks(blocks: list[Block], rules: BlockRules) -> None:
             b.good = False
         elif len(b.text) >= rules.short:
             b.good = b.in_article or stop_density(b.text) >= rules.stop_density
+        elif not b.in_article and _RIGHTS.match(b.text):
+            b.good = False
     first = [b.good for b in blocks]
     before = _nearest(blocks, first, range(len(blocks)))
     after = _nearest(blocks, first, range(len(blocks) - 1, -1, -1))
