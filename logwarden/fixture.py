@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 _SELECT = """
 SELECT e.event_id,
-  timestampadd(SECOND, CAST(12 * e.event_id AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00') AS ts,
+  TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, 12 * e.event_id) AS ts,
   '10.0.0.' || CAST(e.user_id % 8 AS STRING) AS ip,
   regexp_extract(p.url, '^[a-z]+://[^/]+([^?#]*)', 1) AS path,
   CASE WHEN e.user_id % 8 = 3 AND e.event_id % 4 <> 0 AND (e.event_id div 300) % 2 = 1
@@ -27,11 +27,9 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     page_count = pages.agg(F.count("*").alias("n")).scalar()
-    # a few small files would leave most cores idle; many files need no extra shuffle
-    cores = spark.sparkContext.defaultParallelism
-    few_files = len(events.inputFiles()) < cores
     events = events.select(
         "event_id", "user_id", "event_type", (F.col("event_id") % page_count).alias("pid")
     )
     log = spark.sql(_SELECT, e=events, p=pages)
-    return log.repartition(cores) if few_files else log
+    # spread over all cores, however many files there are
+    return log.repartition(spark.sparkContext.defaultParallelism)

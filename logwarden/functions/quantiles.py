@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Up to this many values per group the built-in aggregate runs in one task.
-ONE_TASK_ROWS = 100_000
-_BUCKETS = 64
+# Values that a task sorts, about; the number of buckets follows from the count.
+BUCKET_VALUES = 100_000
 
 
 def unpivot(df: DataFrame, columns) -> DataFrame:
@@ -21,40 +20,32 @@ def unpivot(df: DataFrame, columns) -> DataFrame:
     return df.select(F.inline(pairs))
 
 
-def percentiles(long: DataFrame, probs, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def percentiles(long: DataFrame, probs, bucket_values: int = BUCKET_VALUES) -> DataFrame:
     """``(name, p, value)`` for each prob of each name; linear interpolation.
 
-    ``long`` has ``(name, x)`` with a fixed, small set of names. Small groups use
-    the built-in ``percentile``. Larger ones are cut at approximate edges; then
-    only the buckets that hold a wanted rank are sorted.
+    ``long`` has ``(name, x)`` with a fixed, small set of names. Values are cut at
+    approximate edges into buckets of about ``bucket_values``; then only the buckets
+    that hold a wanted rank are sorted.
     """
     spark = long.sparkSession
     probs = [float(p) for p in probs]
-    edges_at = [i / _BUCKETS for i in range(1, _BUCKETS)]
-    # One row per name: a fixed-size sketch, safe to bring to the driver. Reading it
-    # once also keeps all later steps on the same edges.
-    sketch = (
-        long.groupBy("name")
-        .agg(
-            F.count("x").alias("n"),
-            F.percentile_approx("x", edges_at, 10_000).alias("edges"),
-        )
-        .collect()
-    )
-    if all(row.n <= one_task_rows for row in sketch):
-        picked = long.groupBy("name").agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("v"))
-        return picked.filter(F.col("v").isNotNull()).select(
-            "name",
-            F.inline(
-                F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), F.col("v").alias("value"))
-            ).alias("p", "value"),
+    # One row per name: the counts and a sketch's edges. Reading them once also keeps
+    # all later steps on the same edges.
+    counts = long.groupBy("name").agg(F.count("x").alias("n")).collect()
+    buckets = max([1, *(-(-row.n // bucket_values) for row in counts)])
+    edges_at = [i / buckets for i in range(1, buckets)]
+    edges_of = {}
+    if edges_at:
+        sketch = long.groupBy("name").agg(
+            F.percentile_approx("x", edges_at, max(10_000, 10 * buckets)).alias("edges")
         )
+        edges_of = {row.name: row.edges for row in sketch.collect()}
 
     edge_rows, want_rows = [], []
-    for row in sketch:
+    for row in counts:
         if row.n == 0:
             continue
-        edge_rows.append((row.name, sorted(set(row.edges))))
+        edge_rows.append((row.name, sorted(set(edges_of.get(row.name, [])))))
         for p in probs:
             rank = p * (row.n - 1)
             low = math.floor(rank)

@@ -1,10 +1,10 @@
 """Exact k-nearest-neighbour join and local-outlier-factor scores.
 
 Equal vectors are folded into one weighted point first, so a crowd of identical
-windows costs one row. A reference small enough to ship (its row count is checked)
-is probed map-side. A larger one is cut into cells around pivots; a query visits
-its own cell, and then only the cells that can still hold a nearer point, so no
-pair is built that the bounds rule out and none is dropped that they do not.
+windows costs one row. The reference is cut into cells around pivots, as many as the
+square root of its rows; a query visits its own cell, and then only the cells that
+can still hold a nearer point, so no pair is built that the bounds rule out and
+none is dropped that they do not.
 """
 
 from __future__ import annotations
@@ -19,9 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-SHIP_ROWS = 20_000
 CHUNK_ROWS = 20_000
-MAX_PIVOTS = 4_096
 _DIGITS = 9
 _SLACK = 1e-6
 _LRD_EPS = 1e-10
@@ -101,22 +99,9 @@ def take_nearest(pairs: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _ship(queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
-    shared = queries.sparkSession.sparkContext.broadcast(_as_arrays(reference.toPandas()))
-
-    def probe(batches):
-        for batch in batches:
-            if len(batch):
-                yield _nearest(batch, shared.value, k)
-
-    # few bytes but much work per row: spread over all cores, whatever the file sizes
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    return queries.repartition(cores, "qid").mapInPandas(probe, _PAIR)
-
-
 def _pivot_table(reference: DataFrame, n_rows: int) -> np.ndarray:
-    """A hash-chosen, bounded set of reference vectors (at most ``MAX_PIVOTS``)."""
-    wanted = min(MAX_PIVOTS, max(2, math.ceil(math.sqrt(n_rows))))
+    """Hash-chosen reference vectors: the square root of their number."""
+    wanted = max(2, math.ceil(math.sqrt(n_rows)))
     rows = reference.orderBy(F.xxhash64("rid"), "rid").limit(wanted).select("x").collect()
     return np.array([r.x for r in rows])
 
@@ -140,35 +125,28 @@ def _with_cell(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return placed.select(*points.columns, "place.cell", "place.to_pivot")
 
 
-def _chunks(rows_per_cell: dict[int, int]):
-    """Map column cell -> number of chunks that keep one task's share bounded."""
-    entries = []
-    for cell, rows in sorted(rows_per_cell.items()):
-        if rows > CHUNK_ROWS:
-            entries += [F.lit(cell), F.lit(math.ceil(rows / CHUNK_ROWS))]
-    if not entries:
-        return F.lit(1)
-    return F.coalesce(F.try_element_at(F.create_map(*entries), F.col("cell")), F.lit(1))
+def _probe_cells(visits: DataFrame, queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
+    """Probe each visit (qid, cell, reach); big cells are cut on both sides."""
 
+    def parts(rows: DataFrame, name: str) -> DataFrame:
+        chunks = F.ceil(F.count("*") / CHUNK_ROWS).cast("int")
+        return rows.groupBy("cell").agg(chunks.alias(name))
 
-def _probe_cells(visits: DataFrame, reference: DataFrame, ref_rows: dict[int, int], k: int) -> DataFrame:
-    """Probe each (query, cell) visit; big cells are cut on both sides."""
-    load = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    ref_parts, query_parts = _chunks(ref_rows), _chunks(load)
+    cuts = parts(reference, "rparts").join(parts(visits, "qparts"), "cell")
 
-    def part(key: str, parts):
-        return F.pmod(F.xxhash64(key), parts.cast("bigint")).cast("int")
+    def part(key: str, count: str):
+        return F.pmod(F.xxhash64(key), F.col(count).cast("bigint")).cast("int")
 
-    def all_parts(parts):
-        return F.explode(F.sequence(F.lit(0), parts - 1))
+    def all_parts(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    queries = visits.select(
-        "qid", "x", "reach", "cell", part("qid", query_parts).alias("qpart"),
-        all_parts(ref_parts).alias("rpart"),
+    asked = visits.join(queries.select("qid", "x"), "qid").join(cuts, "cell").select(
+        "qid", "x", "reach", "cell", part("qid", "qparts").alias("qpart"),
+        all_parts("rparts").alias("rpart"),
     )
-    points = reference.select(
-        "rid", "x", "weight", "k_dist", "lrd", "cell", part("rid", ref_parts).alias("rpart"),
-        all_parts(query_parts).alias("qpart"),
+    points = reference.join(cuts, "cell").select(
+        "rid", "x", "weight", "k_dist", "lrd", "cell", part("rid", "rparts").alias("rpart"),
+        all_parts("qparts").alias("qpart"),
     )
 
     def probe(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
@@ -177,33 +155,27 @@ def _probe_cells(visits: DataFrame, reference: DataFrame, ref_rows: dict[int, in
         return _nearest(q, _as_arrays(r), k)
 
     keys = ["cell", "rpart", "qpart"]
-    return queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(probe, _PAIR)
+    return asked.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(probe, _PAIR)
 
 
 def _by_cells(queries: DataFrame, reference: DataFrame, n_rows: int, k: int) -> DataFrame:
     pivots = _pivot_table(reference, n_rows)
     reference = stage(_with_cell(reference, pivots), "knn-reference")
     queries = stage(_with_cell(queries, pivots), "knn-queries")
-    stats = (
-        reference.groupBy("cell")
-        .agg(F.max("to_pivot").alias("radius"), F.count("*").alias("rows"))
-        .collect()
-    )
-    ref_rows = {r.cell: r.rows for r in stats}
     radius = np.full(len(pivots), -np.inf)
-    for r in stats:
+    for r in reference.groupBy("cell").agg(F.max("to_pivot").alias("radius")).collect():
         radius[r.cell] = r.radius
 
-    home = queries.withColumn("reach", F.lit(float("inf")))
-    own = stage(_probe_cells(home, reference, ref_rows, k), "knn-own")
+    home = queries.select("qid", "cell", F.lit(float("inf")).alias("reach"))
+    own = stage(_probe_cells(home, queries, reference, k), "knn-own")
     known = own.groupBy("qid").agg(F.count("*").alias("found"), F.max("distance").alias("worst"))
     bounded = queries.join(known, "qid", "left").withColumn(
         "reach", F.when(F.col("found") >= k, F.col("worst")).otherwise(F.lit(float("inf")))
     )
-    shared = queries.sparkSession.sparkContext.broadcast((pivots, radius, _distances(pivots, pivots)))
+    shared = queries.sparkSession.sparkContext.broadcast((pivots, radius))
 
     def route(batches):
-        centre, reach_of, between = shared.value
+        centre, reach_of = shared.value
         usable = np.isfinite(reach_of)
         for batch in batches:
             for at in range(0, len(batch), 1_000):
@@ -216,7 +188,8 @@ def _by_cells(queries: DataFrame, reference: DataFrame, n_rows: int, k: int) ->
                     # pivots are reference points, so the k-th nearest is a bound too
                     reach = np.minimum(reach, np.partition(d, k - 1, axis=1)[:, k - 1])
                 reach = reach + _SLACK
-                gap = np.maximum(between[home_cell], 1e-12)
+                homes, home_row = np.unique(home_cell, return_inverse=True)
+                gap = np.maximum(_distances(centre[homes], centre), 1e-12)[home_row]
                 own_d = part["to_pivot"].to_numpy()[:, None]
                 bisector = (d * d - own_d * own_d) / (2.0 * gap)
                 visit = (d - reach_of <= reach[:, None]) & (bisector <= reach[:, None] + _SLACK)
@@ -227,22 +200,19 @@ def _by_cells(queries: DataFrame, reference: DataFrame, n_rows: int, k: int) ->
                 yield pd.DataFrame(
                     {
                         "qid": part["qid"].to_numpy()[row],
-                        "x": part["x"].to_numpy()[row],
                         "cell": cell.astype("int32"),
                         "reach": reach[row],
                     }
                 )
 
     visits = bounded.select("qid", "x", "cell", "to_pivot", "reach").mapInPandas(
-        route, "qid string, x array<double>, cell int, reach double"
+        route, "qid string, cell int, reach double"
     )
-    visits = stage(visits, "knn-visits")
-    return own.union(_probe_cells(visits, reference, ref_rows, k))
+    visits = stage(visits, "knn-visits")  # ids only
+    return own.union(_probe_cells(visits, queries, reference, k))
 
 
-def knn_join(
-    queries: DataFrame, reference: DataFrame, k: int, ship_rows: int = SHIP_ROWS
-) -> DataFrame:
+def knn_join(queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
     """``(qid, rid, distance, weight, k_dist, lrd, share)``: exact nearest neighbours.
 
     ``queries``: ``(qid, x)``; ``reference``: ``(rid, x, weight[, k_dist, lrd])``.
@@ -252,12 +222,7 @@ def knn_join(
             reference = reference.withColumn(column, F.lit(0.0))
     reference = reference.select("rid", "x", "weight", "k_dist", "lrd")
     queries = queries.select("qid", "x")
-    n_rows = reference.count()
-    if n_rows <= ship_rows:
-        pairs = _ship(queries, reference, k)
-    else:
-        pairs = _by_cells(queries, reference, n_rows, k)
-    return take_nearest(pairs, k)
+    return take_nearest(_by_cells(queries, reference, reference.count(), k), k)
 
 
 def _density(neighbours: DataFrame, k: int):
@@ -266,7 +231,7 @@ def _density(neighbours: DataFrame, k: int):
 
 
 def fit_lof(
-    points: DataFrame, n_rows: int, k: int, ship_rows: int = SHIP_ROWS, save=None
+    points: DataFrame, n_rows: int, k: int, save=None
 ) -> tuple[DataFrame, DataFrame]:
     """Reference table ``(rid, x, weight, k_dist, lrd)`` and raw training scores.
 
@@ -278,7 +243,7 @@ def fit_lof(
     save = save or (lambda df: stage(df, "lof-reference"))
     k = max(1, min(k, n_rows - 1))
     pairs = stage(
-        knn_join(points.select(F.col("rid").alias("qid"), "x"), points, k + 1, ship_rows).drop(
+        knn_join(points.select(F.col("rid").alias("qid"), "x"), points, k + 1).drop(
             "share", "k_dist", "lrd"
         ),
         "lof-pairs",
@@ -305,11 +270,11 @@ def lof_raw(neighbours: DataFrame, k: int) -> DataFrame:
 
 
 def score_lof(
-    scaled: DataFrame, reference: DataFrame, n_train: int, k: int, ship_rows: int = SHIP_ROWS
+    scaled: DataFrame, reference: DataFrame, n_train: int, k: int
 ) -> DataFrame:
     """Add ``lof_raw`` to rows with ``row_key`` and ``x``."""
     k = max(1, min(k, n_train - 1))
     queries = weighted_points(scaled).select(F.col("rid").alias("qid"), "x")
-    scores = lof_raw(knn_join(queries, reference, k, ship_rows), k)
+    scores = lof_raw(knn_join(queries, reference, k), k)
     by_vector = queries.join(scores, "qid").select("x", "lof_raw")
     return scaled.join(by_vector, "x", "left")
