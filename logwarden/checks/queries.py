@@ -352,7 +352,7 @@ def s10_alert_append(spark, sf):
     alerts = A.url_alerts(_context(spark, sf), _urls(spark, sf))
     for _ in range(2):
         append_alerts(alerts, out, batch_id=0)
-    return spark.read.schema(_SINK_SCHEMA).json(f"{out}/batch_id=0")
+    return spark.read.schema(_SINK_SCHEMA).json(f"{out}/run=direct/batch_id=0")
 
 
 @query
@@ -1155,7 +1155,7 @@ def t4_microbatch_scoring(spark, sf):
         records, _library(spark, sf), CFG, out, ckpt, trigger={"availableNow": True}
     )
     run.awaitTermination()
-    return spark.read.schema(_SINK_SCHEMA).json(f"{out}/batch_id=0")
+    return spark.read.schema(_SINK_SCHEMA).json(f"{out}/*/*")
 
 
 def _event_time_run(spark, sf, folder: str, max_files: int | None):

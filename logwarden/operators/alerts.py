@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DetectorConfig
 from ..functions.ranking import rank_within
+from ..sources.log_table import time_range
 from ..functions.text import full_url, shorten, url_suspicion, with_decoded
 from .features import time_window
 
@@ -83,9 +86,16 @@ def with_signals(windows: DataFrame, train_rarity_p95: float | None = None) -> D
 
 
 def requests_of(requests: DataFrame, windows: DataFrame, cfg: DetectorConfig) -> DataFrame:
-    """The requests behind the given ``(ip, window_ts)`` rows, with ``url_score``."""
-    keyed = requests.withColumn("window_ts", time_window(F.col("ts"), cfg)["start"])
+    """The requests behind the given ``(ip, window_ts)`` rows, with ``url_score``.
+
+    The first and last window and their days are looked up first, so the second scan
+    of the log skips other days and row groups.
+    """
     wanted = windows.select("ip", "window_ts").distinct()
+    span = wanted.agg(F.min("window_ts").alias("first"), F.max("window_ts").alias("last")).first()
+    if span.first is not None:
+        requests = time_range(requests, span.first, span.last + timedelta(minutes=cfg.window_minutes))
+    keyed = requests.withColumn("window_ts", time_window(F.col("ts"), cfg)["start"])
     return (
         with_decoded(keyed.join(wanted, ["ip", "window_ts"], "left_semi"))
         .withColumn("url", full_url(F.col("path"), F.col("query")))
@@ -150,12 +160,17 @@ def alert_context(
     )
 
 
-def url_alerts(context: DataFrame, urls: DataFrame) -> DataFrame:
-    """One alert per window and URL."""
+def url_alerts(context: DataFrame, urls: DataFrame, keep_pending: bool = False) -> DataFrame:
+    """One alert per window and URL.
+
+    With ``keep_pending`` a window whose URLs are not known yet gives one alert
+    with a null URL, marked ``urls_pending``.
+    """
     extra = [c for c in ("url", "url_score", "first_ts", "url_rank") if c in urls.columns]
-    joined = context.join(urls, ["ip", "window_ts"])
+    joined = context.join(urls, ["ip", "window_ts"], "left" if keep_pending else "inner")
+    pending = [F.col("url").isNull().alias("urls_pending")] if keep_pending else []
     return joined.select(
-        *_CONTEXT, "break_count", *extra, F.current_timestamp().alias("generated_at")
+        *_CONTEXT, "break_count", *extra, *pending, F.current_timestamp().alias("generated_at")
     )
 
 

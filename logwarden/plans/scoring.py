@@ -47,6 +47,7 @@ def alerts_for(
     cfg: DetectorConfig,
     max_urls: int | None = None,
     form: str = "url",
+    keep_pending: bool = False,
     **filters,
 ) -> DataFrame:
     """Alert records of flagged windows: per ``url``, per ``window``, or a ``summary``."""
@@ -55,7 +56,7 @@ def alerts_for(
     if form == "summary":
         return alert_summary(context, worst_urls(requests, kept, cfg, 3))
     urls = worst_urls(requests, kept, cfg, max_urls)
-    return url_alerts(context, urls) if form == "url" else window_alerts(context, urls)
+    return url_alerts(context, urls, keep_pending) if form == "url" else window_alerts(context, urls)
 
 
 def score_batch(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import logging
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DetectorConfig
@@ -18,7 +20,7 @@ from ..operators.drift import (
 )
 from ..schemas import DECISION
 from ..session import staging_path
-from ..sources.access_logs import read_access_logs
+from ..sources.access_logs import observed_counts, read_access_logs
 from ..sources.alert_sink import save_alerts
 from ..sources.log_table import (
     append_records,
@@ -32,16 +34,25 @@ from .registry import ModelRegistry
 from .scoring import score_batch
 
 
+log_messages = logging.getLogger(__name__)
+
+
 class NoActiveModel(LookupError):
     pass
 
 
+def log_bad_records(path: str, counts: IngestCounts) -> None:
+    if counts.bad:
+        log_messages.warning("%s: %d records used, %d bad ones left out", path, counts.good, counts.bad)
+
+
 @dataclass
 class Library:
     """A model root: its tables and its registry."""
 
     spark: SparkSession
     root: str
+    _loaded: Model | None = field(default=None, repr=False, compare=False)
 
     @property
     def store(self) -> ModelStore:
@@ -52,8 +63,13 @@ class Library:
         return ModelRegistry(self.spark, self.root)
 
     def active(self) -> Model | None:
+        """The active model; it is loaded again only after another one became active."""
         model_id = self.registry.active_id()
-        return None if model_id is None else self.store.load(model_id)
+        if model_id is None:
+            return None
+        if self._loaded is None or self._loaded.model_id != model_id:
+            self._loaded = self.store.load(model_id)
+        return self._loaded
 
 
 def bootstrap(requests: DataFrame, library: Library, cfg: DetectorConfig) -> Model:
@@ -75,11 +91,32 @@ def score_with_active(
     return score_batch(requests, model, cfg, **options)
 
 
-def ingest(spark: SparkSession, path: str, log_table: str, layout: str = "auto") -> DataFrame:
-    """Parse JSON logs once into the day-partitioned log table, and read that."""
-    good, _ = read_access_logs(spark, path, layout)
-    append_records(good, log_table)
-    return read_log_table(spark, log_table)
+@dataclass(frozen=True)
+class IngestCounts:
+    good: int
+    bad: int
+
+
+def ingest(
+    spark: SparkSession, path: str, log_table: str, layout: str = "auto", run: str | None = None
+) -> tuple[DataFrame, IngestCounts]:
+    """Parse JSON logs once into the day-partitioned log table.
+
+    Returns the records this call has added, read back from the table, and how
+    many were good and bad. Each call adds a run of its own, unless ``run`` names
+    one to replace. ``read_log_table`` reads the whole table.
+    """
+    good, bad = read_access_logs(spark, path, layout)
+    return _added(spark, good.unionByName(bad), log_table, run or f"ingest-{uuid.uuid4().hex}")
+
+
+def _added(
+    spark: SparkSession, records: DataFrame, log_table: str, run: str
+) -> tuple[DataFrame, IngestCounts]:
+    seen = Observation()
+    append_records(observed_counts(records, seen), log_table, run=run)
+    counts = seen.get
+    return read_log_table(spark, log_table, run), IngestCounts(counts["good"], counts["bad"])
 
 
 def score_file(
@@ -89,9 +126,14 @@ def score_file(
     """Score a log file or folder; with ``out``, also write the alerts.
 
     Scoring reads the requests twice (features, then the URLs of flagged windows).
-    With ``log_table`` the JSON is parsed once and both passes read columns.
+    With ``log_table`` the JSON is parsed once, and both passes read the columns of
+    this file's rows.
     """
-    requests = ingest(spark, path, log_table) if log_table else read_access_logs(spark, path)[0]
+    if log_table:
+        requests, counts = ingest(spark, path, log_table)
+        log_bad_records(path, counts)
+    else:
+        requests = read_access_logs(spark, path)[0]
     alerts = score_with_active(requests, library, cfg)
     if out:
         save_alerts(alerts, out)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 STAGING_KEY = "spark.checkpoint.dir"
 _local_staging: list[str] = []
+_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str = "logwarden", master: str | None = None, **conf) -> SparkSession:
@@ -53,5 +56,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_inside(spark: SparkSession) -> Iterator[None]:
+    """Tables staged in the block are removed at its end, so results must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            place = hadoop.Path(path)
+            place.getFileSystem(conf).delete(place, True)

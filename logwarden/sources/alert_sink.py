@@ -12,6 +12,6 @@ def save_alerts(alerts: DataFrame, path: str) -> None:
     in_alert_order(alerts).write.mode("overwrite").json(path)
 
 
-def append_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
-    """Alerts of one micro-batch; a retried batch overwrites its own folder."""
-    alerts.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+def append_alerts(alerts: DataFrame, path: str, batch_id: int, run: str = "direct") -> None:
+    """Alerts of one micro-batch of one query; a retried batch overwrites its own folder."""
+    alerts.write.mode("overwrite").json(f"{path}/run={run}/batch_id={batch_id}")

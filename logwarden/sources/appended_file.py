@@ -12,7 +12,12 @@ import json
 import os
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    InputPartition,
+)
 
 _TAIL_BLOCK = 64 * 1024
 
@@ -83,8 +88,23 @@ class AppendedFileReader(DataSourceStreamReader):
                     yield (text,)
 
 
+class AppendedFileBatchReader(DataSourceReader):
+    """The whole lines up to ``endOffsets``; all of them by default."""
+
+    def __init__(self, options):
+        self.stream = AppendedFileReader(options)
+        self.end = json.loads(options["endOffsets"]) if "endOffsets" in options else None
+
+    def partitions(self):
+        end = self.stream.latestOffset() if self.end is None else self.end
+        return self.stream.partitions({}, end) or [ByteRange("", 0, 0)]
+
+    def read(self, partition: ByteRange):
+        return self.stream.read(partition) if partition.path else iter(())
+
+
 class AppendedFileSource(DataSource):
-    """``spark.readStream.format("appended_file").load(pattern)`` -> column ``value``."""
+    """Column ``value`` of ``spark.readStream`` or ``spark.read``, format ``appended_file``."""
 
     @classmethod
     def name(cls) -> str:
@@ -96,6 +116,9 @@ class AppendedFileSource(DataSource):
     def streamReader(self, schema) -> AppendedFileReader:
         return AppendedFileReader(self.options)
 
+    def reader(self, schema) -> AppendedFileBatchReader:
+        return AppendedFileBatchReader(self.options)
+
 
 def current_offsets(pattern: str) -> dict[str, int]:
     """End of the last whole line of every matching file, as a start position."""
@@ -113,3 +136,12 @@ def read_appended_file(
     if start:
         reader = reader.option("startOffsets", json.dumps(start))
     return reader.load()
+
+
+def read_lines_up_to(spark, pattern: str, end: dict[str, int], range_bytes: int | None = None):
+    """Column ``value``: the whole lines that lie before the offsets ``end``."""
+    spark.dataSource.register(AppendedFileSource)
+    reader = spark.read.format("appended_file").option("path", pattern)
+    if range_bytes:
+        reader = reader.option("rangeBytes", str(range_bytes))
+    return reader.option("endOffsets", json.dumps(end)).load()

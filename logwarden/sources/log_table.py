@@ -11,21 +11,35 @@ from pyspark.sql import types as T
 from ..schemas import ACCESS_LOG
 
 
-def append_records(records: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append to the history. With ``batch_id`` a retried batch replaces itself."""
+def append_records(records: DataFrame, path: str, batch_id: int = 0, run: str = "direct") -> None:
+    """Append to the history; the same batch of the same run replaces itself.
+
+    Rows are sorted inside each task, one run per day, so time filters skip row
+    groups and the records are read once and not shuffled. ``compact`` merges small files.
+    """
     columns = [f.name for f in ACCESS_LOG if f.name in records.columns]
-    day = records.select(*columns, F.to_date("ts").alias("dt"))
-    # one sorted run per day and task: time filters then skip row groups
-    day = day.repartitionByRange("dt", "ts").sortWithinPartitions("dt", "ts")
-    if batch_id is None:
-        day.write.mode("append").partitionBy("dt").parquet(f"{path}/batch=-1")
-    else:
-        day.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch={batch_id}")
+    day = records.select(*columns, F.to_date("ts").alias("dt")).sortWithinPartitions("dt", "ts")
+    day.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/run={run}/batch={batch_id}")
 
 
-def read_log_table(spark: SparkSession, path: str) -> DataFrame:
+def read_log_table(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """The whole history, or what one run has added."""
     schema = T.StructType([*ACCESS_LOG.fields, T.StructField("dt", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path if run is None else f"{path}/run={run}")
+
+
+def compact(spark: SparkSession, path: str, out: str, days: float | None = None) -> None:
+    """Writes the history as a new table in few large files by day and time.
+
+    With ``days`` only rows no older than that before the newest one are taken over.
+    Readers move to ``out`` when it is complete; ``path`` is left as it is.
+    """
+    log = read_log_table(spark, path)
+    if days is not None:
+        log = retained(log, days)
+    log = log.drop("dt").withColumn("dt", F.to_date("ts"))
+    spread = log.repartitionByRange("dt", "ts").sortWithinPartitions("dt", "ts")
+    spread.write.mode("overwrite").partitionBy("dt").parquet(f"{out}/run=compacted/batch=0")
 
 
 def time_range(log: DataFrame, start, end) -> DataFrame:

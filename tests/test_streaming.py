@@ -1,10 +1,14 @@
 import json
+import os
+import time
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from logwarden.config import DetectorConfig
 from logwarden.plans import workflows as J
+from logwarden.session import staging_root
 from logwarden.sources.access_logs import flatten, parse_lines, raw_json
 from logwarden.sources.appended_file import AppendedFileReader, read_appended_file
 from logwarden.streaming import scoring as X
@@ -26,7 +30,7 @@ def library(spark, tmp_path_factory):
 
 
 def read_alerts(spark, out):
-    return spark.read.schema("ip string, url string, window_start_utc string").json(f"{out}/*")
+    return spark.read.schema("ip string, url string, window_start_utc string").json(f"{out}/*/*")
 
 
 def test_microbatches_restart_without_duplicates(spark, tmp_path, library):
@@ -58,7 +62,8 @@ def test_microbatches_restart_without_duplicates(spark, tmp_path, library):
 
 def test_failing_batch_is_set_aside(spark, tmp_path, library):
     source = tmp_path / "in"
-    write_json(traffic(spark, [6]), source)
+    log = traffic(spark, [6], noise=20)
+    write_json(log, source)
     out, aside = str(tmp_path / "out"), str(tmp_path / "aside")
 
     class Broken:
@@ -67,10 +72,69 @@ def test_failing_batch_is_set_aside(spark, tmp_path, library):
 
     X.score_microbatches(
         X.stream_directory(spark, str(source)), Broken(), CFG, out, str(tmp_path / "ckpt"),
-        quarantine=aside, trigger=NOW,
+        quarantine=aside, trigger=NOW, attempts=1,
     ).awaitTermination()
     kept = spark.read.parquet(aside)
-    assert kept.count() == 100 and "unreadable" in kept.first().error
+    assert kept.count() == log.count() and "unreadable" in kept.first().error
+
+    table = str(tmp_path / "log")
+    handle = X.batch_scorer(library, CFG, out, table)
+    (run, batch_id), = X.replay_set_aside(spark, aside, handle)
+    assert batch_id == 0 and spark.read.parquet(table).count() == log.count()
+    assert read_alerts(spark, out).count() > 0
+    assert X.replay_set_aside(spark, aside, handle) == []
+    direct = str(tmp_path / "direct")
+    X.score_microbatches(
+        X.stream_directory(spark, str(source)), library, CFG, direct, str(tmp_path / "ckpt2"), trigger=NOW
+    ).awaitTermination()
+    assert sorted(read_alerts(spark, out).collect()) == sorted(read_alerts(spark, direct).collect())
+
+
+def test_a_passing_failure_is_tried_again(spark, tmp_path):
+    calls = []
+
+    def handle(batch, batch_id):
+        calls.append(batch_id)
+        if len(calls) < 3:
+            raise OSError("storage is busy")
+
+    X.guarded(handle, None, attempts=3, pause=0)(spark.range(1), 7)
+    assert calls == [7, 7, 7]
+    calls.clear()
+    with pytest.raises(OSError):
+        X.guarded(handle, None, attempts=2, pause=0)(spark.range(1), 7)
+
+
+def test_runs_do_not_overwrite_each_other(spark, tmp_path, library):
+    """Two streams, and one with a new checkpoint, into the same folders."""
+    out, table = str(tmp_path / "out"), str(tmp_path / "log")
+    for k, hour in enumerate((6, 7)):
+        write_json(traffic(spark, [hour], noise=20), tmp_path / f"in{k}")
+        X.score_microbatches(
+            X.stream_directory(spark, str(tmp_path / f"in{k}")), library, CFG, out,
+            str(tmp_path / f"ckpt{k}"), log_table=table, trigger=NOW,
+        ).awaitTermination()
+    hours = {r.window_start_utc[11:13] for r in read_alerts(spark, out).collect()}
+    assert hours == {"06", "07"}
+    assert {r.h for r in spark.read.parquet(table).select(F.hour("ts").alias("h")).distinct().collect()} == {6, 7}
+
+
+def test_three_batches_leave_no_staging_and_load_one_model(spark, tmp_path, monkeypatch):
+    fresh = J.Library(spark, str(tmp_path / "lib"))
+    J.bootstrap(traffic(spark, range(6)), fresh, CFG)
+    for hour in (6, 7, 8):
+        write_json(traffic(spark, [hour], noise=20), tmp_path / "in")
+    loads, load = [], J.ModelStore.load
+    monkeypatch.setattr(J.ModelStore, "load", lambda self, model_id: loads.append(model_id) or load(self, model_id))
+    root = staging_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    X.score_microbatches(
+        X.stream_directory(spark, str(tmp_path / "in")), fresh, CFG, str(tmp_path / "out"),
+        str(tmp_path / "ckpt"), trigger=NOW,
+    ).awaitTermination()
+    assert read_alerts(spark, str(tmp_path / "out")).count() > 0
+    assert len(loads) == 1
+    assert set(os.listdir(root)) == before
 
 
 def test_event_time_windows_join_split_batches(spark, tmp_path, library):
@@ -91,8 +155,29 @@ def test_event_time_windows_join_split_batches(spark, tmp_path, library):
     assert alerts.filter("ip = '10.0.0.0'").count() == urls.count()
 
 
+def test_windows_ahead_of_the_log(spark, tmp_path, library):
+    """A log table that lags loses no alert; the URLs follow when it has caught up."""
+    log = traffic(spark, range(6, 9), noise=20)
+    write_json(log.filter("hour(ts) < 8"), tmp_path / "in0")
+    write_json(log.filter("hour(ts) = 8"), tmp_path / "in1")
+    out = str(tmp_path / "out")
+    X.score_event_time(
+        X.stream_directory(spark, str(tmp_path / "in[0-9]"), None), library, CFG, out, str(tmp_path / "ckpt"),
+        requests=lambda: log.filter("hour(ts) < 7"), trigger=NOW,
+    ).awaitTermination()
+    alerts = spark.read.json(f"{out}/*/*").filter("ip = '10.0.0.0'")
+    pending = alerts.filter("urls_pending").collect()
+    assert [r.window_start_utc[11:13] for r in pending] == ["07"]
+    later = X.pending_url_alerts(alerts, log, CFG)
+    urls = log.filter("ip = '10.0.0.0' AND hour(ts) = 7").select("path", "query").distinct()
+    assert later.count() == urls.count() and later.filter("url IS NULL").count() == 0
+
+
 def test_late_rows_are_counted(spark, tmp_path, library):
     """A batch is held against the watermark of the one before it."""
+    table = str(tmp_path / "late")
+    counter = X.LateRowCounter(spark, table)
+    spark.streams.addListener(counter)
     for hour in (9, 8, 6):
         write_json(traffic(spark, [hour]), tmp_path / "in")
     windows = X.streaming_windows(
@@ -104,10 +189,31 @@ def test_late_rows_are_counted(spark, tmp_path, library):
         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(**NOW).start()
     )
     run.awaitTermination()
-    assert X.late_rows(run) > 0
+    wait_for(lambda: X.late_rows(spark, table, run.id) > 0)
+    spark.streams.removeListener(counter)
+    assert X.late_rows(spark, table) == X.late_rows(spark, table, run.id)
     assert {r.window_ts.hour for r in spark.read.parquet(out).collect()} == {8}
 
 
+def wait_for(condition, seconds=30):
+    end = time.time() + seconds
+    while not condition():
+        assert time.time() < end
+        time.sleep(0.2)
+
+
+def test_late_rows_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    """130 reports, one of them repeated; a query keeps the progress of 100."""
+    table = str(tmp_path / "late")
+    counter = X.LateRowCounter(spark, table)
+    for batch in [*range(130), 129]:
+        operators = [SimpleNamespace(numRowsDroppedByWatermark=n) for n in (2, 1)]
+        progress = SimpleNamespace(id="q1", batchId=batch, stateOperators=operators)
+        counter.onQueryProgress(SimpleNamespace(progress=progress))
+    assert X.late_rows(spark, table, "q1") == 390 == X.late_rows(spark, table)
+    assert X.late_rows(spark, table, "q2") == 0 == X.late_rows(spark, str(tmp_path / "none"))
+
+
 def lines(*numbers):
     return "".join(json.dumps({"n": n}) + "\n" for n in numbers)
 
@@ -169,3 +275,27 @@ def test_follow_file(spark, tmp_path):
     assert run() == log.count() + noisy.count()
     assert library.registry.models().count() == models
     assert read_alerts(spark, out).filter("ip = '10.0.0.0'").count() > 0
+
+
+def test_follow_file_with_a_model_starts_at_the_beginning(spark, tmp_path, library):
+    """Existing lines that no history step has used are scored and logged."""
+    noisy = traffic(spark, [6, 7], noise=20)
+    file = tmp_path / "access.log"
+    file.write_text("".join(r.v + "\n" for r in noisy.select(raw_json(noisy).alias("v")).collect()))
+    out, table = str(tmp_path / "out"), str(tmp_path / "log")
+    X.follow_file(spark, str(file), library, CFG, out, str(tmp_path / "ckpt"), table, trigger=NOW).awaitTermination()
+    assert spark.read.parquet(table).count() == noisy.count()
+    assert read_alerts(spark, out).filter("ip = '10.0.0.0'").count() > 0
+
+
+def test_follow_file_replays_history_once(spark, tmp_path):
+    log = traffic(spark, range(7))
+    file = tmp_path / "access.log"
+    file.write_text("".join(r.v + "\n" for r in log.select(raw_json(log).alias("v")).collect()))
+    library, table = J.Library(spark, str(tmp_path / "lib")), str(tmp_path / "log")
+    for ckpt in ("a", "a", "b"):  # a restart, and a new checkpoint
+        X.follow_file(
+            spark, str(file), library, CFG, str(tmp_path / "out"), str(tmp_path / ckpt), table,
+            history="replay", trigger=NOW,
+        ).awaitTermination()
+        assert spark.read.parquet(table).count() == log.count()

@@ -7,6 +7,7 @@ from conftest import make_log
 from logwarden.config import DetectorConfig
 from logwarden.fixture import access_log
 from logwarden.plans import workflows as J
+from logwarden.sources.log_table import append_records, compact, read_log_table
 from logwarden.plans.model import TooFewWindows
 from logwarden.plans.registry import ModelRegistry, RegistryError
 from logwarden.plans.scoring import score_batch, score_requests
@@ -172,3 +173,35 @@ def test_score_file(spark, tmp_path):
     assert direct.count() > 0
     assert direct.select(keep).exceptAll(through.select(keep)).isEmpty()
     assert spark.read.json(str(tmp_path / "out")).count() == direct.count()
+    assert through.select(keep).exceptAll(direct.select(keep)).isEmpty()
+
+    # a second file into the same table: only its own rows are scored
+    later = traffic(spark, [9], noise=20)
+    later.select(raw_json(later).alias("value")).write.text(str(tmp_path / "in2"))
+    second = J.score_file(spark, str(tmp_path / "in2"), library, CFG, log_table=str(tmp_path / "log"))
+    assert {r.window_start_utc.hour for r in second.select("window_start_utc").distinct().collect()} == {9}
+    assert read_log_table(spark, str(tmp_path / "log")).count() == noisy.count() + later.count()
+
+
+def test_ingest_counts_bad_records(spark, tmp_path):
+    file = tmp_path / "x.json"
+    good = '{"@timestamp":"2024-01-01T10:00:00Z","source":{"ip":"10.0.0.3"}}'
+    file.write_text(f"{good}\n{{broken\n{good}\n\n")
+    added, counts = J.ingest(spark, str(file), str(tmp_path / "log"))
+    assert (added.count(), counts.good, counts.bad) == (2, 2, 1)
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.json").write_text("\n")
+    added, counts = J.ingest(spark, str(tmp_path / "none"), str(tmp_path / "log"))
+    assert (added.count(), counts.good, counts.bad) == (0, 0, 0)
+
+
+def test_compaction_keeps_recent_rows(spark, tmp_path):
+    log = traffic(spark, range(8))
+    for k, half in enumerate((log.filter("hour(ts) < 4"), log.filter("hour(ts) >= 4"))):
+        append_records(half, str(tmp_path / "log"), k)
+    compact(spark, str(tmp_path / "log"), str(tmp_path / "whole"))
+    assert read_log_table(spark, str(tmp_path / "whole")).count() == log.count()
+    compact(spark, str(tmp_path / "log"), str(tmp_path / "recent"), days=2 / 24)
+    newest = log.selectExpr("max(ts) t").first().t
+    kept = read_log_table(spark, str(tmp_path / "recent"))
+    assert kept.count() == log.filter(F.col("ts") >= F.lit(newest) - F.expr("interval 2 hours")).count() > 0
