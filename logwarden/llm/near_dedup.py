@@ -32,8 +32,6 @@ class NearDedupConfig:
 
     With 32 bands of 4 registers a pair of similarity 0.8 shares no band with
     probability 5e-8. ``margin`` is five standard errors of the estimate.
-    ``hubs`` are the members of a bucket that others are held against, by round;
-    None holds against all that are not joined by then.
     """
 
     shingle: int = 5
@@ -43,7 +41,6 @@ class NearDedupConfig:
     base: float = 1.001
     rate: float = 20.0
     margin: float = 0.18
-    hubs: tuple[int | None, ...] = (1, 64, None)
 
 
 def registers(elements: np.ndarray, owner: np.ndarray, sets: int, cfg: NearDedupConfig) -> np.ndarray:
@@ -178,31 +175,73 @@ def _likely(pairs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
+    """The (a, b) that are links."""
+
     def side(name: str) -> DataFrame:
         return classes.select(
             F.col("rep").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}")
         )
 
-    near = stage(_likely(pairs.join(side("b"), "b").join(side("a"), "a"), cfg), "near-pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("_wanted")).distinct()
+    alike = 100 * F.least("n_a", "n_b") >= cfg.percent * F.greatest("n_a", "n_b")
+    sized = pairs.join(side("b"), "b").join(side("a"), "a").filter(alike)
+    near = stage(_likely(sized, cfg), "near-pairs")
+    return stage(_true_links(_with_texts(near, docs), cfg).distinct(), "near-links")
+
+
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b) for pairs of doc_ids."""
+    wanted = pairs.select(F.col("a").alias("_wanted")).union(pairs.select("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(
         wanted, F.col("_id") == F.col("_wanted"), "left_semi"
     )
     texts = stage(texts, "near-texts")
-    with_b = near.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("text_b")), "b")
-    with_a = with_b.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return stage(_true_links(with_a, cfg).distinct(), "near-links")
+    with_b = pairs.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("text_b")), "b")
+    return with_b.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("text_a")), "a")
+
+
+def _beside_hub(pairs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
+    """What each b has beside its hub a: rows (a, b, shared, shingle).
+
+    A row with a null shingle, and one for each shingle of b that a lacks; ``shared`` is the number
+    of shingles that both have.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for texts in text_slices(batch.column("text_b")):
+                some = batch.slice(at, len(texts))
+                at += len(texts)
+                hubs = (s for t in text_slices(some.column("text_a")) for s in _shingle_sets(t, cfg.shingle))
+                other = [
+                    np.setdiff1d(b, a, assume_unique=True)
+                    for a, b in zip(hubs, _shingle_sets(texts, cfg.shingle), strict=True)
+                ]
+                sizes = np.array([len(x) for x in other])
+                shared = some.column("n_b").to_numpy() - sizes
+                rows = np.repeat(np.arange(len(other)), sizes)
+                every = np.concatenate([np.arange(len(other)), rows])
+                yield pa.RecordBatch.from_arrays([
+                    some.column("a").take(pa.array(every)), some.column("b").take(pa.array(every)),
+                    pa.array(shared[every]),
+                    pa.concat_arrays([
+                        pa.nulls(len(other), pa.int64()),
+                        pa.array(np.concatenate([*other, np.zeros(0, "uint64")]).view("int64")),
+                    ]),
+                ], names=["a", "b", "shared", "shingle"])
+
+    return pairs.select("a", "b", "n_b", "text_a", "text_b").mapInArrow(
+        compare, "a long, b long, shared long, shingle long"
+    )
 
 
 def near_duplicates(docs: DataFrame, cfg: NearDedupConfig | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
-    Documents with equal sets are one class. Classes that share a band of registers are
-    candidates: in a bucket all members are first held against its smallest, then
-    against 64 hubs, then against all others, and members that links have joined
-    already are not held against each other again. So a bucket of many copies costs
-    about one comparison each, and none is left out. Links join classes into components;
-    component_id is the smallest doc_id reachable, kept marks that document.
+    Documents with equal sets are one class. Classes that share a band of registers are in
+    one bucket, and links are searched there without comparing all pairs, see
+    ``_linked_roots``. Links join classes into components; component_id is the
+    smallest doc_id reachable, kept marks that document.
 
     Null and empty texts, and texts of white space, have no shingles and are linked
     with nothing; a text of fewer words than a shingle has is one shingle. Rows
@@ -222,9 +261,9 @@ def near_duplicates(docs: DataFrame, cfg: NearDedupConfig | None = None) -> Data
     bands = classes.select("rep", "n", F.explode(F.array(*[
         F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width))
         for i in range(cfg.registers // cfg.band_registers)
-    ])).alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("_count")).filter("_count > 1")
-    members = stage(bands.join(shared, "band", "left_semi"), "members")
+    ])).alias("bucket"))
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("_count")).filter("_count > 1")
+    members = stage(bands.select("bucket", "rep", "n").join(shared, "bucket", "left_semi"), "members")
     roots = _linked_roots(members, classes, docs, cfg)
 
     named = classes.select(F.col("set_key").alias("_key"), "rep")
@@ -242,43 +281,132 @@ def near_duplicates(docs: DataFrame, cfg: NearDedupConfig | None = None) -> Data
 
 
 def _linked_roots(members, classes, docs, cfg) -> DataFrame | None:
-    """``(node, root)`` of the classes that have links; None if there are none."""
-    links = tested = roots = None
-    for hubs in cfg.hubs:
-        live = members.withColumn("root", F.col("rep"))
-        if roots is not None:
-            ends = roots.withColumnsRenamed({"node": "_node", "root": "_root"})
-            live = members.join(ends, F.col("rep") == F.col("_node"), "left").select(
-                "band", "rep", "n", F.coalesce("_root", "rep").alias("root")
-            )
-            apart = live.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-            live = stage(
-                live.join(apart.filter("_low != _high"), "band", "left_semi"), "live-members"
-            )
-        at = live.select("band", F.struct("rep", "n", "root").alias("hub"))
-        if hubs is not None:
-            slot = F.pmod(F.xxhash64(F.col("hub.rep")), F.lit(hubs))
-            at = at.groupBy("band", slot).agg(F.min("hub").alias("hub")).select("band", "hub")
-        pairs = live.join(at, "band").filter(
-            (F.col("root") != F.col("hub.root"))
-            & (100 * F.least("n", "hub.n") >= cfg.percent * F.greatest("n", "hub.n"))
+    """``(node, root)`` of the classes that have links; None if there are none.
+
+    ``members`` has (bucket, rep, n). First all members of a bucket are held against its hub,
+    the member that shares most buckets with others. Members that stay apart form a
+    group with their hub. Let C be the hub's shingles and those that half of the group
+    has besides. Members x and y share at most min(|x and C|, |y and C|) shingles
+    of C. As p percent similarity means |x and y| >= p / (100 + p) (|x| + |y|),
+    linked members either are both that close to C, or share enough shingles outside C.
+    So all members are held against the one closest to C, and then just the pairs of either
+    kind that are still apart. In a group of copies with changes of their own there
+    are few of these, so work grows with the group and not with its square; no
+    member of a bucket is left out.
+    """
+    search = _Search(classes, docs, cfg)
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("_size"))
+    degree = members.join(sizes, "bucket").groupBy("rep").agg(F.sum("_size").alias("_degree"))
+    hubs = members.join(degree, "rep").groupBy("bucket").agg(
+        F.max(F.struct("_degree", (-F.col("rep")).alias("_rep"))).alias("_top")
+    ).select("bucket", (-F.col("_top._rep")).alias("hub"))
+    beside = stage(members.join(hubs, "bucket").filter("rep != hub"), "beside")
+    search.test(beside.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
+    apart = _in_parts(search.rooted(beside), beside)
+    group = stage(apart.select("hub", "rep", "n").distinct(), "groups")
+    if group.isEmpty():
+        return search.roots
+
+    found = _beside_hub(_with_texts(group.select(F.col("hub").alias("a"), F.col("rep").alias("b")), docs).join(
+        group.select(F.col("rep").alias("b"), F.col("n").alias("n_b")).distinct(), "b"
+    ), cfg)
+    found = stage(found.withColumnsRenamed({"a": "hub", "b": "rep"}), "beside-hubs")
+    other = found.filter("shingle IS NOT NULL").select("hub", "rep", "shingle")
+    counts = other.groupBy("hub", "shingle").agg(F.count("*").alias("_count")).filter("_count > 1")
+    half = counts.join(group.groupBy("hub").agg(F.count("*").alias("_size")), "hub")
+    half = stage(half.select("hub", "shingle", (2 * F.col("_count") >= F.col("_size")).alias("common")), "counts")
+    other = stage(other.join(half, ["hub", "shingle"]), "shared-shingles")
+    common = other.filter("common").groupBy("hub", "rep").agg(F.count("*").alias("_common"))
+    close = found.filter("shingle IS NULL").select("hub", "rep", "shared").join(group, ["hub", "rep"])
+    close = close.join(common, ["hub", "rep"], "left").select(
+        "hub", "rep", "n", (F.col("shared") + F.coalesce("_common", F.lit(0))).alias("in_c")
+    )
+    close = stage(close, "close")
+
+    centre = close.groupBy("hub").agg(
+        F.max(F.struct((2 * F.col("in_c") - F.col("n")).alias("_near"), (-F.col("rep")).alias("_rep"))).alias("_top")
+    ).select("hub", (-F.col("_top._rep")).alias("centre"))
+    search.test(close.join(centre, "hub").filter("rep != centre").select(
+        F.col("centre").alias("a"), F.col("rep").alias("b")
+    ))
+    close = stage(search.rooted(close), "close-roots")
+    search.test(_sharing(other.filter("NOT common"), close, cfg).unionByName(_both_close(close, cfg)))
+    return search.roots
+
+
+class _Search:
+    """Tests pairs of classes once and keeps the links and the roots that follow from them."""
+
+    def __init__(self, classes, docs, cfg):
+        self.classes, self.docs, self.cfg = classes, docs, cfg
+        self.links = self.tested = self.roots = None
+
+    def rooted(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (rep) with the root of their component so far."""
+        if self.roots is None:
+            return rows.withColumn("root", F.col("rep"))
+        ends = self.roots.withColumnsRenamed({"node": "_node", "root": "_root"})
+        return rows.join(ends, F.col("rep") == F.col("_node"), "left").select(
+            *rows.columns, F.coalesce("_root", "rep").alias("root")
         )
-        if hubs is None:
-            pairs = pairs.filter(F.col("rep") > F.col("hub.rep"))
-        pairs = pairs.select(
-            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")
-        ).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+
+    def test(self, pairs: DataFrame) -> None:
+        """Confirms links among the (a, b) that are of like size, untested and still apart."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        if self.roots is not None:
+            for side in ("a", "b"):
+                ends = self.roots.withColumnsRenamed({"node": "_node", "root": f"_root_{side}"})
+                pairs = pairs.join(ends, F.col(side) == F.col("_node"), "left").drop("_node")
+            pairs = pairs.filter(F.coalesce("_root_a", "a") != F.coalesce("_root_b", "b")).select("a", "b")
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _confirmed(pairs, classes, docs, cfg)
+            return
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        found = _confirmed(pairs, self.classes, self.docs, self.cfg)
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            roots = components(links)
-    return roots
+            self.links = found if self.links is None else self.links.unionByName(found)
+            self.roots = components(self.links)
+
+
+def _sharing(other: DataFrame, close: DataFrame, cfg: NearDedupConfig) -> DataFrame:
+    """Pairs (a, b) still apart that share enough shingles outside their group's C."""
+    rows = other.join(close, ["hub", "rep"]).select("hub", "shingle", F.struct("rep", "n", "in_c", "root").alias("x"))
+    y = rows.select(F.col("hub").alias("_hub"), F.col("shingle").alias("_shingle"), F.col("x").alias("y"))
+    both = rows.join(y, (F.col("hub") == F.col("_hub")) & (F.col("shingle") == F.col("_shingle")) & (
+        F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root")))
+    needed = F.ceil(cfg.percent * (F.col("x.n") + F.col("y.n")) / (100 + cfg.percent)) - F.least("x.in_c", "y.in_c")
+    shared = both.groupBy("hub", F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(
+        F.count("*").alias("_shared"), F.first(needed).alias("_needed")
+    )
+    return shared.filter("_shared >= _needed").select("a", "b")
+
+
+def _both_close(close: DataFrame, cfg: NearDedupConfig) -> DataFrame:
+    """Pairs (a, b) still apart whose shared shingles may all lie in their group's C."""
+    room = F.floor((100 + cfg.percent) * F.col("in_c") / cfg.percent) - F.col("n")
+    own = close.select("hub", "rep", "n", "root", room.alias("room"))
+    # the largest component of a group need not look for others: they look for it
+    largest = own.groupBy("hub", "root").agg(F.count("*").alias("_size")).groupBy("hub").agg(
+        F.max(F.struct("_size", "root")).alias("_top")
+    ).select("hub", F.col("_top.root").alias("_largest"))
+    sizes = own.groupBy("hub").agg(F.min("n").alias("_least"), F.max("n").alias("_most"))
+    seek = own.join(largest, "hub").filter("root != _largest").join(sizes, "hub").select(
+        F.col("hub").alias("_hub"), F.col("rep").alias("y"), F.col("n").alias("y_n"), F.col("root").alias("y_root"),
+        F.greatest("_least", F.ceil(cfg.percent * F.col("n") / 100)).alias("low"),
+        F.least("_most", "room").alias("high"),
+    ).filter("low <= high")
+    seek = seek.select("_hub", "y", "y_n", "y_root", F.explode(F.sequence("low", "high")).alias("x_n"))
+    same = (F.col("hub") == F.col("_hub")) & (F.col("n") == F.col("x_n"))
+    both = own.join(seek, same & (F.col("room") >= F.col("y_n")) & (F.col("root") != F.col("y_root")))
+    return both.select(F.col("rep").alias("a"), F.col("y").alias("b"))
+
+
+def _in_parts(rooted: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of buckets that hold several roots."""
+    several = rooted.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+    return members.join(several.filter("_low != _high"), "bucket", "left_semi")
 
 
 def deduplicate(docs: DataFrame, cfg: NearDedupConfig | None = None) -> DataFrame:

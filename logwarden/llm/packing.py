@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .words import text_slices
 
 SEQUENCE_TOKENS = 2048
 #: Pieces that one task packs.
@@ -62,14 +63,8 @@ class WordIds:
         self.counts = array("q", [0])
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes)
-        at = 0
-        while at < len(texts):
-            upto = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + BATCH_BYTES)))
-            yield from self._encode_some(texts.slice(at, upto - at))
-            at = upto
+        for some in text_slices(texts, BATCH_BYTES):
+            yield from self._encode_some(some)
 
     def _encode_some(self, texts: pa.Array) -> Iterator[np.ndarray]:
         control = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)

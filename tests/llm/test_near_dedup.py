@@ -2,11 +2,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logwarden.llm import near_dedup as nd
 from logwarden.llm.components import components
 from logwarden.llm.queries import queries
+from logwarden.llm.words import text_slices, word_numbers
 
 CFG = nd.NearDedupConfig(shingle=4)
 
@@ -116,3 +118,11 @@ def test_components(spark):
     want |= {1000 + i: 1000 for i in range(400)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_words_of_slices():
+    texts = pa.array(["É a", "b Ç\u00a0d", None, "ÀÉ Ü x"] * 50)
+    whole = word_numbers(next(text_slices(texts)))
+    for start in range(0, 200, 7):
+        parts = [word_numbers(t) for t in text_slices(texts.slice(start), 40)]
+        assert (np.concatenate([w for w, _ in parts]) == whole[0][whole[1][start] :]).all()
