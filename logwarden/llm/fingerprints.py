@@ -189,7 +189,7 @@ def compare_with_edits(docs: DataFrame, size: int = SIGNATURE, range_bytes: int
     ))).alias("to"))
     ordered = (
         both.select("to.range", "to.ahead", "key", "doc_id", "text")
-        .repartition(n, "range")
+        .repartition("range")
         .sortWithinPartitions("range", "ahead", "key", "text")
     )
 
