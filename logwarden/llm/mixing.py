@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import rank_within
 from ..session import stage
+from .sized import sized
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -108,7 +109,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     )
     taken = stage(taken.withColumnRenamed("doc_id", "_taken_id").filter("_copies > 0"), "mix-taken")
     once = taken.filter("_rows = 1")
-    chosen = docs.join(once, F.col("doc_id").eqNullSafe(F.col("_taken_id")))
+    chosen = docs.join(sized(once), F.col("doc_id").eqNullSafe(F.col("_taken_id")))
     emitted = chosen.select(*docs.columns, "_copies")
     often = taken.filter("_rows > 1")
     if not often.isEmpty():

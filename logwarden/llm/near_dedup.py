@@ -17,10 +17,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
 from .components import components
+from .sized import sized
 from .words import mixed, shingle_numbers, text_slices, word_numbers
 
 _SKETCH = "doc_id long, n_shingles long, set_key binary, sketch binary"
@@ -191,6 +193,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, cfg: NearD
 def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, text_a, text_b) for pairs of doc_ids."""
     wanted = pairs.select(F.col("a").alias("_wanted")).union(pairs.select("b")).distinct()
+    wanted = sized(stage(wanted, "wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(
         wanted, F.col("_id") == F.col("_wanted"), "left_semi"
     )
@@ -314,7 +317,7 @@ def _linked_roots(members, classes, docs, cfg) -> DataFrame | None:
     other = found.filter("shingle IS NOT NULL").select("hub", "rep", "shingle")
     counts = other.groupBy("hub", "shingle").agg(F.count("*").alias("_count")).filter("_count > 1")
     half = counts.join(group.groupBy("hub").agg(F.count("*").alias("_size")), "hub")
-    half = stage(half.select("hub", "shingle", (2 * F.col("_count") >= F.col("_size")).alias("common")), "counts")
+    half = stage(half.select("hub", "shingle", F.col("_count").alias("count"), (2 * F.col("_count") >= F.col("_size")).alias("common")), "counts")
     other = stage(other.join(half, ["hub", "shingle"]), "shared-shingles")
     common = other.filter("common").groupBy("hub", "rep").agg(F.count("*").alias("_common"))
     close = found.filter("shingle IS NULL").select("hub", "rep", "shared").join(group, ["hub", "rep"])
@@ -371,16 +374,24 @@ class _Search:
 
 
 def _sharing(other: DataFrame, close: DataFrame, cfg: NearDedupConfig) -> DataFrame:
-    """Pairs (a, b) still apart that share enough shingles outside their group's C."""
-    rows = other.join(close, ["hub", "rep"]).select("hub", "shingle", F.struct("rep", "n", "in_c", "root").alias("x"))
-    y = rows.select(F.col("hub").alias("_hub"), F.col("shingle").alias("_shingle"), F.col("x").alias("y"))
-    both = rows.join(y, (F.col("hub") == F.col("_hub")) & (F.col("shingle") == F.col("_shingle")) & (
-        F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root")))
-    needed = F.ceil(cfg.percent * (F.col("x.n") + F.col("y.n")) / (100 + cfg.percent)) - F.least("x.in_c", "y.in_c")
-    shared = both.groupBy("hub", F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(
-        F.count("*").alias("_shared"), F.first(needed).alias("_needed")
-    )
-    return shared.filter("_shared >= _needed").select("a", "b")
+    """Pairs (a, b) still apart that may share enough shingles outside their group's C.
+
+    A member needs at least so many of them as the smallest partner asks for, so of its
+    list, rarest first, the last ``needed`` - 1 can be left out: two lists that share
+    enough also meet in what is left of both.
+    """
+    least = close.groupBy("hub").agg(F.min("n").alias("_least"))
+    needed = F.ceil(cfg.percent * (F.col("n") + F.col("_least")) / (100 + cfg.percent)) - F.col("in_c")
+    known = close.join(least, "hub").select("hub", "rep", "root", F.greatest(F.lit(1), needed).alias("_needed"))
+    rows = other.join(known, ["hub", "rep"])
+    own = W.partitionBy("hub", "rep")
+    rows = rows.withColumn("_place", F.row_number().over(own.orderBy("count", "shingle")))
+    rows = rows.withColumn("_length", F.count("*").over(own)).filter("_place <= _length - _needed + 1")
+    rows = stage(rows.select("hub", "shingle", "rep", "root"), "rare-shingles")
+    y = rows.select(*[F.col(c).alias(f"y_{c}") for c in rows.columns])
+    both = rows.join(y, (F.col("hub") == F.col("y_hub")) & (F.col("shingle") == F.col("y_shingle")) & (
+        F.col("rep") < F.col("y_rep")) & (F.col("root") != F.col("y_root")))
+    return both.select(F.col("rep").alias("a"), F.col("y_rep").alias("b"))
 
 
 def _both_close(close: DataFrame, cfg: NearDedupConfig) -> DataFrame:
@@ -414,11 +425,14 @@ def deduplicate(docs: DataFrame, cfg: NearDedupConfig | None = None) -> DataFram
 
     Of rows that share a doc_id one stays; rows without a doc_id all stay.
     """
-    kept = near_duplicates(docs, cfg).filter("kept AND doc_id IS NOT NULL")
-    kept = stage(kept.groupBy("doc_id").agg(F.count("*").alias("_rows")).withColumnRenamed("doc_id", "_kept_id"), "kept")
-    same = F.col("doc_id") == F.col("_kept_id")
-    stay = docs.join(kept.filter("_rows = 1"), same, "left_semi")
-    often = kept.filter("_rows > 1")
+    found = near_duplicates(docs, cfg).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("kept").alias("_kept"), F.count("*").alias("_rows")
+    )
+    found = found.filter("NOT _kept OR _rows > 1").withColumnRenamed("doc_id", "_id")
+    found = stage(found, "not-as-they-are")
+    same = F.col("doc_id") == F.col("_id")
+    stay = docs.join(sized(found), same, "left_anti")
+    often = found.filter("_kept")
     if not often.isEmpty():
-        stay = stay.unionByName(docs.join(often, same, "left_semi").dropDuplicates(["doc_id"]))
-    return stay.unionByName(docs.filter(F.col("doc_id").isNull()))
+        stay = stay.unionByName(docs.join(sized(often), same, "left_semi").dropDuplicates(["doc_id"]))
+    return stay
