@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .components import components
 from .sized import sized
-from .words import mixed, shingle_numbers, text_slices, word_numbers
+from .words import free_worker, mixed, shingle_numbers, text_slices, word_numbers
 
 _SKETCH = "doc_id long, n_shingles long, set_key binary, sketch binary"
 
@@ -104,6 +104,7 @@ def sketches(docs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
     """One row per document: the size of its shingle set, a 128-bit key of the set, registers."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         for batch in batches:
             ids, at = batch.column("doc_id"), 0
             for texts in text_slices(batch.column("text")):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from array import array
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .words import text_slices
+from .words import kept_by_worker, text_slices
 
 SEQUENCE_TOKENS = 2048
 #: Pieces that one task packs.
@@ -130,7 +129,7 @@ def _ends_in_stop(word: str) -> bool:
     return word[-1:] in (",", ".") and word[:-1].isalpha()
 
 
-@functools.lru_cache(maxsize=1)
+@kept_by_worker
 def _word_ids(tokenizer_path: str) -> WordIds:
     """One for each Python worker: words stay known from task to task."""
     return WordIds(tokenizer_path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,24 @@ import xxhash
 #: Bytes of text that are held as words at a time.
 BATCH_BYTES = 4_000_000
 
+_kept: list[Callable] = []
+
+
+def kept_by_worker(make: Callable) -> Callable:
+    """Keeps the last result in its Python worker, from task to task, until ``free_worker``."""
+    cached = functools.lru_cache(maxsize=1)(make)
+    _kept.append(cached)
+    return cached
+
+
+def free_worker() -> None:
+    """Frees what other operators keep in this worker, at the start of a task that needs the room."""
+    if any(cached.cache_info().currsize for cached in _kept):
+        for cached in _kept:
+            cached.cache_clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
 
 def text_slices(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[pa.Array]:
     """The array in slices of about ``most`` bytes; nulls become empty texts."""
