@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_texts import whole_texts
+
 #: Licence tables up to this many rows are broadcast.
 BROADCAST_LICENSES = 100_000
 
@@ -65,7 +67,13 @@ def digest(text: Column) -> Column:
     return F.when(found != "", F.sha2(found, 256))
 
 
-def license_table(spark: SparkSession, licenses=LICENSES) -> DataFrame:
+def known_licenses() -> list[tuple[str, str]]:
+    """The notices and short texts above and all variants of the whole texts in ``license_texts``."""
+    return [*LICENSES, *whole_texts({name: text for name, text in LICENSES if "\n" in text})]
+
+
+def license_table(spark: SparkSession, licenses=None) -> DataFrame:
+    licenses = known_licenses() if licenses is None else licenses
     return spark.createDataFrame([*licenses], "license string, text string")
 
 

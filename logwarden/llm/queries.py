@@ -73,7 +73,7 @@ def op4_quality(spark, sf_dir):
 
 @query
 def op5_license_scan(spark, sf_dir):
-    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"), licenses.license_table(spark))
 
 
 @query

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from compare import compare, duck
@@ -40,3 +42,23 @@ def test_edge_cases(spark, documents):
     assert lc.scan_licenses(documents([])).collect() == []
     none = spark.createDataFrame([("X", None), (None, "Released under the MIT License.")], "license string, text string")
     assert [r.line_licenses for r in lc.scan_licenses(documents(rows[:1]), none).collect()] == [None]
+
+
+def test_whole_texts(spark, documents):
+    apache, gpl2, gpl3, bsd, mpl, cc0 = (
+        (Path(lc.__file__).parent / f"license_texts/{n}.txt").read_text()
+        for n in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "BSD-3-Clause", "MPL-2.0", "CC0-1.0")
+    )
+    bsd = bsd[bsd.index("Redistribution and"):]
+    terms = apache[:apache.index("   APPENDIX")]
+    body = MIT.split("\n", 1)[1]
+    two = bsd[:bsd.index("3. Neither")] + bsd[bsd.index("\nTHIS SOFTWARE"):]
+    rows = [
+        (apache, "Apache-2.0"), (terms, "Apache-2.0"), (apache.replace("http:", "https:"), "Apache-2.0"),
+        (gpl2, "GPL-2.0-only"), (gpl2[:gpl2.index("How to Apply")], "GPL-2.0-only"), (gpl3, "GPL-3.0-only"),
+        (gpl3.replace("https:", "http:"), "GPL-3.0-only"), (bsd, "BSD-3-Clause"), ("New BSD License\n\n" + bsd, "BSD-3-Clause"),
+        (two, "BSD-2-Clause"), (mpl, "MPL-2.0"), (cc0, "CC0-1.0"), (" ".join(cc0.split()), "CC0-1.0"),
+        ("The MIT License (MIT)\n\nCopyright (c) 2020 A\n\n" + body, "MIT"), (body, "MIT"), (apache[:5000], None),
+    ]
+    got = lc.scan_licenses(documents([(i, t) for i, (t, _) in enumerate(rows)])).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(rows)}
