@@ -49,24 +49,44 @@ SPELLINGS = (
     ("favour", "favor"),
     ("behaviour", "behavior"),
 )
-#: Lines that name a copyright holder; they differ between copies of a licence.
+#: Lines that ``text_digest`` leaves out.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n©]*(copyright|©|\(c\))[^\n]*$"
+# Lines of the form of a notice: the sign, or the word or (c) with a year or the sign behind it.
+_NOTICE = (
+    r"[^\p{L}\p{N}\n©(]*(?:©|copyright[\s:,]*(?:©|\(c\)|(?:19|20)\d\d)"
+    r"|\(c\)[ \t]*(?:©|copyright|(?:19|20)\d\d)|all rights reserved)[^\n]{0,200}(?:\n|\z)"
+)
+#: A notice ahead of the body: at most four short other lines that hold words stand before each.
+LEADING_NOTICE = (
+    rf"\G((?:[^\p{{L}}\p{{N}}\n©(]*\n)*+(?:(?!{_NOTICE})[^\n]{{0,60}}\n(?:[^\p{{L}}\p{{N}}\n©(]*\n)*+){{0,4}}){_NOTICE}"
+)
 
 
-def canonical(text: Column) -> Column:
-    """Small letters without copyright lines and punctuation, in equal spelling."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), "[^a-z0-9]+", " ")
+def _spelled(words: Column) -> Column:
     for spelling, used in SPELLINGS:
         words = F.replace(words, F.lit(spelling), F.lit(used))
     return F.trim(words)
 
 
+def canonical(text: Column) -> Column:
+    """Small letters without copyright lines and punctuation, in equal spelling; a-z and 0-9 only."""
+    return _spelled(F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), "[^a-z0-9]+", " "))
+
+
 def digest(text: Column) -> Column:
     """SHA-256 (hex) of the canonical text; null if nothing is left of it."""
     found = canonical(text)
     return F.when(found != "", F.sha2(found, 256))
 
 
+def license_digest(text: Column) -> Column:
+    """What texts and lines are compared by: as ``digest``, but letters of every script stay, and all
+    lines but the notices ahead of the body."""
+    body = F.regexp_replace(F.lower(text), LEADING_NOTICE, "$1")
+    found = _spelled(F.regexp_replace(body, r"[^\p{L}\p{M}\p{N}]+", " "))
+    return F.when(found != "", F.sha2(found, 256))
+
+
 def known_licenses() -> list[tuple[str, str]]:
     """The notices and short texts above and all variants of the whole texts in ``license_texts``."""
     return [*LICENSES, *whole_texts({name: text for name, text in LICENSES if "\n" in text})]
@@ -82,22 +102,26 @@ def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None) -> DataFra
 
     ``license`` is the licence that the whole text is, ``line_licenses`` those that
     single lines are (distinct, in order, joined by commas), ``n_license_lines`` the number
-    of such lines. ``licenses`` has license and text; texts with equal digests count
-    for the license first in order. Null, empty and wordless texts have a null digest
-    and no licence. Rows equal in doc_id and text have equal results. An empty table gives none.
+    of such lines. Both are found by ``license_digest``; ``text_digest`` is of the letters a-z and
+    digits only. ``licenses`` has license and text; texts with equal digests count
+    for the license first in order. Null, empty and wordless texts have no licence and, as
+    those without a-z and digits, a null digest. Rows equal in doc_id and text have equal results. An empty table gives none.
     """
     known = licenses if licenses is not None else license_table(docs.sparkSession)
-    known = known.select(digest(F.col("text")).alias("_digest"), "license").filter(
+    known = known.select(license_digest(F.col("text")).alias("_digest"), "license").filter(
         "_digest IS NOT NULL AND license IS NOT NULL"
     ).groupBy("_digest").agg(F.min("license").alias("_license"))
     if known.count() <= BROADCAST_LICENSES:
         known = F.broadcast(known)
-    whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"), F.md5("text").alias("_text"))
-    whole = whole.join(known, F.col("text_digest") == F.col("_digest"), "left")
+    whole = docs.select(
+        "doc_id", digest(F.col("text")).alias("text_digest"),
+        license_digest(F.col("text")).alias("_whole"), F.md5("text").alias("_text"),
+    )
+    whole = whole.join(known, F.col("_whole") == F.col("_digest"), "left")
     lines = docs.select(
         "doc_id", F.md5("text").alias("_text"), F.posexplode(F.split("text", "\n")).alias("_place", "_line")
     )
-    lines = lines.select("doc_id", "_text", "_place", digest(F.col("_line")).alias("_line_digest"))
+    lines = lines.select("doc_id", "_text", "_place", license_digest(F.col("_line")).alias("_line_digest"))
     hits = lines.join(known, F.col("_line_digest") == F.col("_digest")).groupBy(
         F.col("doc_id").alias("_doc_id"), F.col("_text").alias("_of")
     ).agg(

@@ -62,3 +62,22 @@ def test_whole_texts(spark, documents):
     ]
     got = lc.scan_licenses(documents([(i, t) for i, (t, _) in enumerate(rows)])).collect()
     assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(rows)}
+
+
+def test_notices_and_scripts(spark, documents):
+    body = MIT.split("\n", 1)[1]
+    wrapped = body.replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS").replace("above copyright", "above\ncopyright")
+    bsd = (Path(lc.__file__).parent / "license_texts/BSD-3-Clause.txt").read_text()
+    notice = "Released under the MIT License."
+    rows = [
+        (wrapped, "MIT"), ("MIT License\n\nCopyright (c) 2020 A\n2021, B\n" + wrapped, None),
+        ("MIT License\n\nCopyright (c) 2020 A\nCopyright 2021 B\n\n" + wrapped, "MIT"), (bsd, "BSD-3-Clause"),
+        ("Copyright law is old." + " It has a long story." * 40 + "\n" + notice, None),
+        ("Copyright 2020" + " and a long story." * 40 + "\n" + notice, None),
+        ("\u7248\u6743\u6587\u6863 \u6211\u4eec\n" + notice, None), ("\u041b\u0438\u0446\u0435\u043d\u0437\u0438\u044f\n" + notice, None),
+        ("\u8bb8\u53ef \u8bc1\uff01", "ZH"), ("terms\n(c) the third item\nend", "LIST"), ("terms\nend", None),
+        (body.replace("CLAIM", "CLAIM\nCopyright 2020 in the body\n"), None),
+    ]
+    known = lc.license_table(spark, [*lc.known_licenses(), ("ZH", "\u8bb8\u53ef \u8bc1"), ("LIST", "Terms (c) the third item end")])
+    got = lc.scan_licenses(documents([(i, t) for i, (t, _) in enumerate(rows)]), known).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(rows)}
