@@ -57,6 +57,13 @@ DROPPED_NAMES = frozenset(
     "footer header masthead comment comments reply replies respond disqus share sharing social "
     "related recommended widget toolbar pagination pager login search complementary contentinfo".split()
 )
+# Parts of a name beside a listed word that leave it what it is.
+NAME_PARTS = frozenset(
+    "list lists area areas box container wrapper wrap section block inner outer content bar panel links link item "
+    "items form button buttons icons left right top bottom main primary secondary site page post posts global".split()
+)
+# First parts of names that tell what an element has or lacks.
+STATES = frozenset("with without no not has is hide show".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -88,13 +95,14 @@ class Block:
     in_article: bool
     dropped: bool
     heading: bool
+    named: int = 0  # inside an element whose name is a listed word (2) or ends in one (1)
     good: bool | None = None
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks of text in order, white space made one blank, references decoded."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, inside what is dropped, inside an article
+    stack: list[tuple[str, bool, bool, int]] = []  # element, inside what is dropped, inside an article, named
     open_count: Counter[str] = Counter()
     texts: list[str] = []
     links = [0]
@@ -103,16 +111,16 @@ def blocks_of(page: str) -> list[Block]:
     def close_block() -> None:
         text = " ".join("".join(texts).split())
         if text:
-            dropped, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            heading = any(tag in HEADINGS for tag, _, _ in stack[-3:])
-            out.append(Block(text, links[0], article, dropped, heading))
+            dropped, article, named = stack[-1][1:] if stack else (False, False, 0)
+            heading = any(element[0] in HEADINGS for element in stack[-3:])
+            out.append(Block(text, links[0], article, dropped, heading, named))
         texts.clear()
         links[0] = 0
 
     def pop_to(tag: str) -> None:
         nonlocal in_links
         while stack:
-            top, _, _ = stack.pop()
+            top = stack.pop()[0]
             open_count[top] -= 1
             in_links -= top == "a"
             if top == tag:
@@ -160,45 +168,81 @@ def blocks_of(page: str) -> list[Block]:
             pop_to(tag)
         if tag in VOID_ELEMENTS or attributes.endswith("/") and tag not in BLOCK_ELEMENTS:
             continue
-        dropped, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, article, named = stack[-1][1:] if stack else (False, False, 0)
         drops = tag in DROPPED_ELEMENTS and not (tag == "header" and article)
-        drops = drops or (tag not in ("html", "body") and bool(attributes) and _names_drop(attributes))
-        stack.append((tag, dropped or drops, article or tag in ARTICLE_ELEMENTS))
+        if tag in ARTICLE_ELEMENTS:
+            article, named = True, named if named == 2 else 0
+        if tag not in ("html", "body") and attributes:
+            drops = drops or _hides(attributes)
+            if tag not in ARTICLE_ELEMENTS:
+                named = max(named, _names(attributes, article))
+        stack.append((tag, dropped or drops, article, named))
         open_count[tag] += 1
         in_links += tag == "a"
     close_block()
     return out
 
 
-def _names_drop(attributes: str) -> bool:
+def _hides(attributes: str) -> bool:
     if "hidden" in attributes and _BARE_HIDDEN.search(_QUOTED.sub("", attributes)):
         return True
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name == "style":
-            if _HIDDEN.search(value):
-                return True
-        elif name in ("hidden", "aria-hidden"):
-            if value.lower() != "false":
-                return True
-        elif any(w.lower() in DROPPED_NAMES for w in _NAME.findall(value)):
+        if name == "style" and _HIDDEN.search(value):
+            return True
+        if name in ("hidden", "aria-hidden") and value.lower() != "false":
             return True
     return False
 
 
+def _names(attributes: str, in_article: bool) -> int:
+    """2 if a class, id or role is a listed word (beside ``NAME_PARTS``), 1 if it ends in one, else 0."""
+    found = 0
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id", "role"):
+            continue
+        for token in "".join(values).split():
+            parts = [w.lower() for w in _NAME.findall(token)]
+            listed = [w in DROPPED_NAMES and not (w == "header" and in_article) for w in parts]
+            if not any(listed) or parts[0] in STATES:
+                continue
+            if all(is_listed or w in NAME_PARTS for w, is_listed in zip(parts, listed, strict=True)):
+                return 2
+            found = max(found, int(listed[-1]))
+    return found
+
+
 def label_blocks(blocks: list[Block], rules: BlockRules) -> None:
-    """Sets ``good`` of every block by the two passes."""
-    has_article = any(b.in_article and not b.dropped for b in blocks)
-    for b in blocks:
-        if b.dropped or (has_article and not b.in_article) or b.link_chars > rules.link_density * len(b.text):
+    """Sets ``good`` of every block by the two passes.
+
+    Blocks in elements named by a listed word are dropped, but only short ones if the name just ends
+    in one. If nothing is good then, articles in such elements count, then long blocks in them.
+    """
+    long = 3 * rules.short
+    for spared in (
+        lambda b: b.named == 1 and len(b.text) >= long,
+        lambda b: b.named == 1 and len(b.text) >= long or b.named and b.in_article,
+        lambda b: len(b.text) >= rules.short,
+    ):
+        for b in blocks:
+            b.good = None
+        _label(blocks, rules, [b.dropped or b.named > 0 and not spared(b) for b in blocks])
+        if any(b.good for b in blocks) or not any(b.named for b in blocks):
+            return
+
+
+def _label(blocks: list[Block], rules: BlockRules, dropped: list[bool]) -> None:
+    has_article = any(b.in_article and not d for b, d in zip(blocks, dropped, strict=True))
+    for b, is_dropped in zip(blocks, dropped, strict=True):
+        if is_dropped or (has_article and not b.in_article) or b.link_chars > rules.link_density * len(b.text):
             b.good = False
         elif len(b.text) >= rules.short:
             b.good = b.in_article or stop_density(b.text) >= rules.stop_density
         elif not b.in_article and _RIGHTS.match(b.text):
             b.good = False
     first = [b.good for b in blocks]
-    before = _nearest(blocks, first, range(len(blocks)))
-    after = _nearest(blocks, first, range(len(blocks) - 1, -1, -1))
+    before = _nearest(blocks, first, dropped, range(len(blocks)))
+    after = _nearest(blocks, first, dropped, range(len(blocks) - 1, -1, -1))
     for i, b in enumerate(blocks):
         if b.good is not None:
             continue
@@ -212,7 +256,7 @@ def label_blocks(blocks: list[Block], rules: BlockRules) -> None:
             b.good = labels[-1] if b.heading else any(labels)
 
 
-def _nearest(blocks: list[Block], labels: list[bool | None], order) -> list[int | None]:
+def _nearest(blocks: list[Block], labels: list[bool | None], dropped: list[bool], order) -> list[int | None]:
     """For each block the decided one met last in ``order``, of those as much in an article.
 
     What is dropped by name or element says nothing about its neighbours inside an article.
@@ -221,7 +265,7 @@ def _nearest(blocks: list[Block], labels: list[bool | None], order) -> list[int
     met: dict[bool, int] = {}
     for i in order:
         out[i] = met.get(blocks[i].in_article)
-        if labels[i] is not None and not (blocks[i].in_article and blocks[i].dropped):
+        if labels[i] is not None and not (blocks[i].in_article and dropped[i]):
             met[blocks[i].in_article] = i
     return out
 

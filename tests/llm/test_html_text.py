@@ -74,3 +74,20 @@ def test_edge_cases(spark):
     got = sorted(map(tuple, ht.extract_text(pages).collect()), key=str)
     assert got == sorted([(1, "u", "", 0), (1, "u", LONG, len(LONG)), (None, None, "", 0), (2, "v", "", 0)], key=str)
     assert ht.extract_text(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div class='with-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div class='no-header'><p>{LONG}</p></div>", LONG),
+    (f"<article class='post related comments-open'><p>{LONG}</p></article>", LONG),
+    (f"<article class='post category-social tag-search'><p>{LONG}</p></article>", LONG),
+    (f"<div class='sidebar'><main><p>{LONG}</p></main></div>", LONG),
+    (f"<article><div class='entry-header'><h1>A title</h1></div><p>{LONG}</p></article>", f"A title\n{LONG}"),
+    (f"<div class='post category-social'><p>{LONG} {LONG_2}</p></div><p>{LONG}</p>", f"{LONG} {LONG_2}\n{LONG}"),
+    (f"<div class='search'><p>{LONG}</p></div>", LONG),
+    (f"<article><p>{LONG}</p></article><div class='related'><article><p>{LONG_2}</p></article></div>", LONG),
+    (f"<article><p>{LONG}</p><ol class='comment-list'><li><article class='comment'><p>{LONG_2 * 3}</p></article></ol></article>", LONG),
+    (f"<div class='comments'><p>{LONG_2} {LONG_2} {LONG_2}</p></div><p>{LONG}</p>", LONG),
+])
+def test_names_of_wrappers(page, text):
+    assert ht.main_text(page) == text
