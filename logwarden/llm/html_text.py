@@ -2,7 +2,8 @@
 
 The first pass labels blocks by length, stop-word density and link density, and by
 what encloses them. The second gives short undecided blocks the label of their
-nearest decided neighbours.
+nearest decided neighbours. On a page without a good block or an article,
+short undecided sentences outside lists are its text.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -36,6 +37,37 @@ STOP_WORDS = frozenset(
     "los más me mi muy nos o para pero por porque que quien se sin sobre son su sus te tiene un una uno y ya"
     .split()
 )
+# The same for pages in other languages, by the first part of their lang attribute.
+MORE_STOP_WORDS = {
+    lang: frozenset(words.split()) for lang, words in {
+        "it": "a ad ai al alla alle anche c che chi ci come con cui da dal dalla dei del della delle di dove e è ed era "
+        "essere fu gli ha hanno i il in io l la le lo loro ma mi molto nei nel nella noi non o ogni per perché più "
+        "quando quella quello questa questo se si sia sono su sua sul sulla suo tra un una uno voi",
+        "pt": "a à ao aos as às até com como da das de do dos e é ela ele eles em entre era essa esse esta este eu foi "
+        "há isso já mais mas me mesmo muito na não nas no nos o os ou para pela pelo por quando que quem se sem ser "
+        "seu sua são também te tem um uma você",
+        "nl": "aan al als bij dan dat de der deze die dit door een en er had heb hebben heeft het hij hoe hun ik in is "
+        "je kan maar me meer met mijn na naar niet nog nu of om ons ook op over te tot uit van veel voor was wat we "
+        "wel werd wij worden wordt zal ze zich zij zijn zo",
+        "pl": "a aby albo ale bo być by był była było były co czy dla do gdy go i ich ja jak jako je jego jej jest jeszcze "
+        "już kiedy który która które których lub ma może mu na nad nie niż o od on ona oraz po pod przed przez przy "
+        "się są ta tak także tam te tego tej ten to tu tylko tym w we więc wszystko z za ze że",
+        "sv": "att av de dem den det då där efter eller en ett för från ha hade han har hon hur i in inte jag kan man med "
+        "men mer mot mycket ni nu när och om på sedan sig sin ska som så till under upp ut var vi vid vad är över",
+        "ru": "а без бы был была были было быть в вам вас весь во вот все всё вы где да для до его ее её если есть ещё еще "
+        "же за и из или им их к как когда кто ли мне мы на над не него нет ни но о об он она они от по под при с "
+        "со так также то того тоже только ты у уже что чтобы эта эти это этот я",
+        "uk": "а або але без би був була були було бути в ви від він вона вони все для до є же з за зі і із її їх його й "
+        "коли ми на не ні ну о по при про та так також те ти то тому у це цей ці чи що щоб я як яка який які",
+        "ar": "أن أو إلى إن التي الذي الذين عن على في قد كان كانت كل كما لا لم لن ما من مع منذ هذا هذه هو هي و ولا بين بعد "
+        "قبل حتى ثم عند غير ذلك تلك أي إذا وقد وفي ومن وهو وهي",
+        "tr": "ama bir biz bu bunu çok da daha de değil diye en gibi hem her için ile ise kadar ki mi mı ne o olan olarak "
+        "olduğu ona onu sonra şu ve veya ya",
+    }.items()
+}
+_LISTED = frozenset("en de fr es".split()) | MORE_STOP_WORDS.keys()
+_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-zA-Z]+)", re.I)
+_SENTENCE = re.compile(r"[.!?…][\"'”’»)\]]*(?:\s|$)|[。！？؟۔।։።]")
 # Elements by what they hold.
 RAW_ELEMENTS = frozenset("script style noscript template textarea title iframe xmp noembed noframes".split())
 DROPPED_ELEMENTS = frozenset(
@@ -48,6 +80,7 @@ BLOCK_ELEMENTS = frozenset(
 )
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE_ELEMENTS = frozenset("article main".split())
+LIST_ELEMENTS = frozenset("li dd dt td th option dl ol ul table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class, id and role that name what surrounds an article.
 DROPPED_NAMES = frozenset(
@@ -95,6 +128,7 @@ class Block:
     in_article: bool
     dropped: bool
     heading: bool
+    in_list: bool = False
     named: int = 0  # inside an element whose name is a listed word (2) or ends in one (1)
     good: bool | None = None
 
@@ -113,7 +147,8 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             dropped, article, named = stack[-1][1:] if stack else (False, False, 0)
             heading = any(element[0] in HEADINGS for element in stack[-3:])
-            out.append(Block(text, links[0], article, dropped, heading, named))
+            in_list = any(open_count[tag] > 0 for tag in LIST_ELEMENTS)
+            out.append(Block(text, links[0], article, dropped, heading, in_list, named))
         texts.clear()
         links[0] = 0
 
@@ -212,13 +247,15 @@ def _names(attributes: str, in_article: bool) -> int:
     return found
 
 
-def label_blocks(blocks: list[Block], rules: BlockRules) -> None:
+def label_blocks(blocks: list[Block], rules: BlockRules, lang: str | None = None) -> None:
     """Sets ``good`` of every block by the two passes.
 
     Blocks in elements named by a listed word are dropped, but only short ones if the name just ends
     in one. If nothing is good then, articles in such elements count, then long blocks in them.
+    ``lang`` is what the page says of its language.
     """
     long = 3 * rules.short
+    is_prose = _prose_test(blocks, rules, lang)
     for spared in (
         lambda b: b.named == 1 and len(b.text) >= long,
         lambda b: b.named == 1 and len(b.text) >= long or b.named and b.in_article,
@@ -226,20 +263,55 @@ def label_blocks(blocks: list[Block], rules: BlockRules) -> None:
     ):
         for b in blocks:
             b.good = None
-        _label(blocks, rules, [b.dropped or b.named > 0 and not spared(b) for b in blocks])
+        _label(blocks, rules, [b.dropped or b.named > 0 and not spared(b) for b in blocks], is_prose)
         if any(b.good for b in blocks) or not any(b.named for b in blocks):
             return
 
 
-def _label(blocks: list[Block], rules: BlockRules, dropped: list[bool]) -> None:
+def _prose_test(blocks: list[Block], rules: BlockRules, lang: str | None) -> Callable[[str], bool]:
+    """Whether a long block outside an article is prose.
+
+    By the stop words of the first four languages and of the page's own. If no long block passes, by those of
+    the list that fits best; if none fits, a block with the end of a sentence is prose on pages in
+    a language without a list or, without a lang attribute or in another script, of none that is known.
+    """
+    texts = [
+        b.text for b in blocks
+        if not b.dropped and not b.in_article and len(b.text) >= rules.short
+        and b.link_chars <= rules.link_density * len(b.text)
+    ]
+    words = STOP_WORDS | MORE_STOP_WORDS.get(lang or "", frozenset())
+    for known in (words, *(w for w in MORE_STOP_WORDS.values() if w is not words)):
+        if any(stop_density(t, known) >= rules.stop_density for t in texts):
+            return lambda text: stop_density(text, known) >= rules.stop_density
+    if lang and lang not in _LISTED:
+        return lambda text: bool(_SENTENCE.search(text))
+    least = rules.stop_density / 2
+    some = lang is not None or any(stop_density(t, k) >= least for t in texts for k in (words, *MORE_STOP_WORDS.values()))
+    return lambda text: bool(_SENTENCE.search(text)) and (not some or _other_script(text))
+
+
+def _other_script(text: str) -> bool:
+    """Whether most letters are of no script that the stop words are written in."""
+    letters = [c for c in text if c.isalpha()]
+    listed = sum(c < "\u0530" or "\u0600" <= c <= "\u06ff" or "\u1e00" <= c <= "\u1eff" for c in letters)
+    return 2 * listed < len(letters)
+
+
+def _label(blocks: list[Block], rules: BlockRules, dropped: list[bool], is_prose: Callable[[str], bool]) -> None:
     has_article = any(b.in_article and not d for b, d in zip(blocks, dropped, strict=True))
     for b, is_dropped in zip(blocks, dropped, strict=True):
         if is_dropped or (has_article and not b.in_article) or b.link_chars > rules.link_density * len(b.text):
             b.good = False
         elif len(b.text) >= rules.short:
-            b.good = b.in_article or stop_density(b.text) >= rules.stop_density
+            b.good = b.in_article or is_prose(b.text)
         elif not b.in_article and _RIGHTS.match(b.text):
             b.good = False
+    if not any(b.good for b in blocks) and not has_article:
+        # a page of short blocks: its sentences
+        for b in blocks:
+            if b.good is None:
+                b.good = False if b.in_list else bool(_SENTENCE.search(b.text)) or None
     first = [b.good for b in blocks]
     before = _nearest(blocks, first, dropped, range(len(blocks)))
     after = _nearest(blocks, first, dropped, range(len(blocks) - 1, -1, -1))
@@ -270,15 +342,16 @@ def _nearest(blocks: list[Block], labels: list[bool | None], dropped: list[bool]
     return out
 
 
-def stop_density(text: str) -> float:
+def stop_density(text: str, known: frozenset[str] = STOP_WORDS) -> float:
     words = re.findall(r"\w+", text.lower())
-    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    return sum(w in known for w in words) / len(words) if words else 0.0
 
 
 def main_text(page: str, rules: BlockRules | None = None) -> str:
     """The good blocks of a page, joined by line ends."""
     blocks = blocks_of(page)
-    label_blocks(blocks, rules or BlockRules())
+    said = _LANG.search(page)
+    label_blocks(blocks, rules or BlockRules(), said[1].lower() if said else None)
     return "\n".join(b.text for b in blocks if b.good)
 
 

@@ -91,3 +91,27 @@ def test_edge_cases(spark):
 ])
 def test_names_of_wrappers(page, text):
     assert ht.main_text(page) == text
+
+
+ITALIAN = "Era il tempo in cui la gente del paese andava con il carro alla città e poi tornava a casa per la sera e per la notte."
+RUSSIAN = "Это было то время, когда люди из деревни шли в город и не знали, что их там ждёт и как они оттуда вернутся."
+CHINESE = "从前有一个村子，村里的人每天都要走很远的路去城里。" * 4
+FINNISH = "Kylän asukkaat lähtivät aamulla kaupunkiin vaunuillaan. Illalla kaikki palasivat takaisin kotiin väsyneinä."
+JUNK = "Prodotto Offerta Prezzo Sconto " * 5
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<html lang=it-IT><p>{ITALIAN}</p><div>{JUNK}</div>", ITALIAN),
+    (f"<p>{ITALIAN}</p><div>{JUNK}</div>", ITALIAN),
+    (f"<html lang='ru'><p>{RUSSIAN}</p>", RUSSIAN),
+    (f"<html lang='zh-CN'><p>{CHINESE}</p><div><a href=x>{CHINESE}</a></div>", CHINESE),
+    (f"<p>{CHINESE}</p>", CHINESE),
+    (f"<html lang=en><p>{CHINESE}</p>", CHINESE),
+    (f"<html lang=fi><p>{FINNISH}</p><div>{JUNK}</div>", FINNISH),
+    (f"<div>{JUNK}</div>", ""),
+    ("<ul><li>Home</li><li>Read this.</li></ul><p>A short one.</p><p>And one more.</p><p>Contact</p>",
+     "A short one.\nAnd one more.\nContact"),
+    ("<ul><li>Home.</li></ul><p>About</p>", ""),
+])
+def test_more_languages_and_short_pages(page, text):
+    assert ht.main_text(page) == text
