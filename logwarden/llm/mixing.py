@@ -114,11 +114,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     often = taken.filter("_rows > 1")
     if not often.isEmpty():
         rows = docs.join(often, F.col("doc_id").eqNullSafe(F.col("_taken_id")))
-        share = F.col("_copies") / F.col("_rows")
-        place = F.col("_place")
+        upto = "_place * _copies div _rows - (_place - 1) * _copies div _rows"
         emitted = emitted.unionByName(
             rank_within(rows, ["doc_id"], [F.xxhash64("text")], "_place").select(
-                *docs.columns, (F.floor(place * share) - F.floor((place - 1) * share)).alias("_copies")
+                *docs.columns, F.expr(upto).alias("_copies")
             )
         ).filter("_copies > 0")
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))

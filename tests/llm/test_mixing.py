@@ -71,3 +71,11 @@ def test_hot_source_of_equal_documents(spark, documents):
     for source, members in by.items():
         taken = sum(r.copies * r["size"] for r in members)
         assert abs(taken - members[0].target) <= 2 * max(r["size"] for r in members), source
+
+
+@pytest.mark.parametrize(("rows", "copies"), [(11, 15), (49, 1)])
+def test_rows_of_one_id_lose_no_copy(spark, documents, monkeypatch, rows, copies):
+    docs = documents([(None, f"text {i}", "en", "s") for i in range(rows)])
+    taken = spark.createDataFrame([(None, copies if i == 0 else 0) for i in range(rows)], "doc_id long, copies long")
+    monkeypatch.setattr(mx, "copies", lambda docs, **options: taken)
+    assert mx.mix(docs).count() == copies
