@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from array import array
@@ -24,8 +25,6 @@ SHARD_PIECES = 8192
 WORDS_KEPT = 1_200_000
 #: Bytes of text that are tokenized at a time.
 BATCH_BYTES = 12_000_000
-#: The local search looks for so many exchanges for each piece of a shard at most.
-TRIES_PER_PIECE = 8
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -164,7 +163,7 @@ class _Bins:
     the ``n`` tokens of none, one or two of its pieces.
     """
 
-    def __init__(self, lengths: list[int], most: int, tries: int):
+    def __init__(self, lengths: list[int], most: int, tries: float):
         self.most, self.lengths, self.tries = most, lengths, tries
         self.bins: list[list[int]] = []
         self.fill: list[int] = []
@@ -220,8 +219,9 @@ class _Bins:
                 if not backs:
                     self.mask &= ~(1 << reach)
 
-    def receiver(self, donor: int, amount: int):
-        """The exchange that leaves least room in another bin when it receives ``amount``."""
+    def receiver(self, donor: int, amount: int, most_given: int = 2):
+        """The exchange that leaves least room in another bin when it receives ``amount`` for
+        ``most_given`` pieces or fewer."""
         self.tries -= 1
         reach = amount
         while fits := self.mask >> reach:
@@ -229,7 +229,7 @@ class _Bins:
             for back, found in self.reach[reach].items():
                 if back < amount:
                     for b, given in found:
-                        if b != donor and self.fill[b] + amount - back > self.fill[donor]:
+                        if b != donor and len(given) <= most_given and self.fill[b] + amount - back > self.fill[donor]:
                             return b, given
             reach += 1
         return None
@@ -278,8 +278,7 @@ class _Bins:
             for q in by[i + 1 :]:
                 if self.tries <= 0:
                     return False
-                found = self.receiver(donor, self.lengths[p] + self.lengths[q])
-                if found and len(found[1]) < 2:
+                if found := self.receiver(donor, self.lengths[p] + self.lengths[q], 1):
                     self.exchange(donor, (p, q), *found)
                     return True
         return False
@@ -287,7 +286,7 @@ class _Bins:
 
 def pack_lengths(lengths: list[int], most: int) -> list[list[int]]:
     """Bins of indexes of ``lengths``, each of at most ``most`` in all."""
-    packed = _Bins(lengths, most, TRIES_PER_PIECE * len(lengths))
+    packed = _Bins(lengths, most, math.inf)
     packed.best_fit()
     packed.search()
     return [b for b in packed.bins if b]

@@ -91,3 +91,13 @@ def test_forgetting_words(monkeypatch):
     words = pk.WordIds(pk.default_tokenizer())
     got = [ids.tolist() for ids in words.encode(pa.array(texts))]
     assert got == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_pair_goes_to_the_next_receiver():
+    """The first by reach would give two pieces back, the second gives one."""
+    bins = pk._Bins([10, 10, 5, 14, 80, 18, 79], 100, 100)
+    bins.bins, bins.fill = [[0, 1], [2, 3, 4], [5, 6]], [20, 99, 97]
+    for b in range(3):
+        bins.list_bin(b)
+    assert bins._give(0)
+    assert sorted(bins.fill) == [18, 99, 99]
