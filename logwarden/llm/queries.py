@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, fingerprints, html_text, licenses, mixing, near_dedup, packing, quality, topk, url_rules
+    chat, fill_middle, fingerprints, hard_negatives, html_text, licenses, mixing, near_dedup, packing, quality,
+    suffix_dedup, topk, url_rules,
 )
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +105,23 @@ def op10_judge_urls(spark, sf_dir):
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    return fill_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_remove_repeats(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), texts=False)
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 _MIX = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -188,8 +206,87 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
 
+_FILL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1,
+    ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+parts AS (
+  SELECT *, coalesce(array_to_string(u[1:least(c1, c2)], ''), '') AS prefix,
+    coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS middle,
+    coalesce(array_to_string(u[greatest(c1, c2) + 1:], ''), '') AS suffix FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM parts
+"""
+
+# bytes as two hexadecimal digits each, so that places are bytes
+_REPEATS = r"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h FROM documents),
+numbered AS (
+  SELECT row, doc_id, h, unnest(range(0, length(h) // 2, 256)) AS base FROM texts),
+parts AS (
+  SELECT row, doc_id, base, substr(h, 2 * base + 1, 610) AS part FROM numbered),
+places AS (
+  SELECT *, unnest(range(0, least(256, length(part) // 2))) AS spot FROM parts),
+strings AS (
+  SELECT row, doc_id, base + spot AS spot, substr(part, 2 * spot + 1, 2) AS byte,
+    CASE WHEN 2 * spot + 100 <= length(part) THEN md5(substr(part, 2 * spot + 1, 100)) END AS string FROM places),
+firsts AS (SELECT string, min(doc_id) AS first FROM strings WHERE string IS NOT NULL GROUP BY string),
+marked AS (
+  SELECT row, spot, byte, max(coalesce(first < doc_id, false)::INTEGER) OVER (
+    PARTITION BY row ORDER BY spot ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM strings LEFT JOIN firsts USING (string)),
+runs AS (
+  SELECT *, lag(gone, 1, 0) OVER (PARTITION BY row ORDER BY spot) AS before FROM marked),
+counted AS (
+  SELECT row, sum(gone) AS n_removed, sum(CASE WHEN gone = 1 AND before = 0 THEN 1 ELSE 0 END) AS n_spans,
+    sha256(unhex(coalesce(string_agg(byte, '' ORDER BY spot) FILTER (WHERE gone = 0), ''))) AS kept_sha256
+  FROM runs GROUP BY row)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM texts LEFT JOIN counted USING (row)
+"""
+
+_NEGATIVES = r"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 _SQL = {
     "op5_license_scan": _license_sql(),
     "op6_mix_sources": _MIX,
     "op10_judge_urls": _URLS,
+    "op11_fill_in_middle": _FILL,
+    "op12_remove_repeats": _REPEATS,
+    "op13_hard_negatives": _NEGATIVES,
 }
