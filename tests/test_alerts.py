@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_log
+from logs import make_log
 from logwarden.config import FEATURE_COLUMNS, DetectorConfig
 from logwarden.operators import alerts as A
 from logwarden.operators import scoring as S

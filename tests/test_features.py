@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_log
+from logs import make_log
 from logwarden.config import FEATURE_COLUMNS, DetectorConfig
 from logwarden.fixture import access_log
 from logwarden.operators import baselines as B

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_log
+from logs import make_log
 from logwarden.config import DetectorConfig
 from logwarden.fixture import access_log
 from logwarden.plans import workflows as J
