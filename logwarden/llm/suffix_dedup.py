@@ -42,8 +42,8 @@ _BLOCK = "block long, ids binary, missing binary, ends binary, size long, text b
 _ANCHORS = "bucket long, block long, numbers binary"
 _SHARED = "block long, bucket long, numbers binary, crowded binary"
 _PIECES = (
-    "shard long, block long, content binary, sizes binary, owner binary, order binary, "
-    "document binary, start binary, removed binary"
+    "shard long, block long, content binary, sizes binary, anchor binary, owner binary, "
+    "order binary, document binary, start binary, removed binary"
 )
 _REMOVED = "block long, removed binary"
 _RUN = np.dtype([("document", "<u4"), ("start", "<u4"), ("end", "<u4")])
@@ -57,7 +57,7 @@ class SuffixDedupConfig:
     """
 
     length: int = 50
-    gram: int = 16
+    gram: int = 24
     block_bytes: int = 4_000_000
     slice_bytes: int = 1_000_000
     bucket_anchors: int = 2_000_000
@@ -65,8 +65,8 @@ class SuffixDedupConfig:
     crowd: int = 1000
 
     def __post_init__(self):
-        if not 1 <= self.gram <= self.length < 2**16:
-            raise ValueError("1 <= gram <= length < 65536")
+        if not 1 <= self.gram <= self.length <= 10_000:
+            raise ValueError("1 <= gram <= length <= 10000")
 
     @property
     def long_gram(self) -> int:
@@ -360,6 +360,8 @@ def _cut(block: pd.DataFrame, found: pd.DataFrame, buckets: int, shards: int, cf
         "i8", len(first),
     )
     contents = list(owners)
+    mark = np.empty(len(contents), "<u4")
+    mark[owner] = anchor >> np.uint64(32)
     document = np.searchsorted(ends, first, "right")
     order = ids[document]
     earliest = np.full(len(contents), _LAST)
@@ -374,7 +376,7 @@ def _cut(block: pd.DataFrame, found: pd.DataFrame, buckets: int, shards: int, cf
     out = []
     if len(own):
         runs = _compressed(_merged(own).tobytes())
-        out.append((int(row["block"]) % shards, row["block"], *[None] * 6, runs))
+        out.append((int(row["block"]) % shards, row["block"], *[None] * 7, runs))
     by = np.flatnonzero(goes)
     by = by[np.lexsort((owner[by], shard[by]))]
     for chosen in np.split(by, np.flatnonzero(np.diff(shard[by])) + 1):
@@ -384,7 +386,7 @@ def _cut(block: pd.DataFrame, found: pd.DataFrame, buckets: int, shards: int, cf
         texts = [contents[i] for i in which.tolist()]
         out.append((
             int(shard[chosen[0]]), row["block"], _compressed(b"".join(texts)),
-            np.array([len(t) for t in texts], "<u2").tobytes(), local.astype("<u4").tobytes(),
+            np.array([len(t) for t in texts], "<u2").tobytes(), mark[which].tobytes(), local.astype("<u4").tobytes(),
             order[chosen].astype("<i8").tobytes(), document[chosen].astype("<u4").tobytes(),
             start[chosen].astype("<u4").tobytes(), None,
         ))
@@ -409,36 +411,75 @@ def _merged(runs: np.ndarray) -> np.ndarray:
 # -- suffix arrays -----------------------------------------------------------------------
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of ``text`` in order, by prefix doubling from eight bytes on.
+_KEY = 5  # bytes that the first sort compares
 
-    The byte 255 ends a stretch: it is larger than all others, and of two the earlier
-    is the smaller. ``text`` must end with one.
+
+def _rising(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the keys (below 2 ** bits) in rising order, and the sorted keys."""
+    places = max(1, (len(key) - 1).bit_length())
+    if bits + places > 64:
+        by = np.argsort(key)
+        return by, key[by]
+    # key and place in one number: sorting numbers is several times faster than sorting places
+    both = key << np.uint64(places) | np.arange(len(key), dtype="u8")
+    both.sort()
+    return (both & np.uint64((1 << places) - 1)).astype("i4"), both >> np.uint64(places)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before; the first always does."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for column in columns:
+        out[1:] |= column[1:] != column[:-1]
+    return out
+
+
+def _several(head: np.ndarray) -> np.ndarray:
+    """The rows that share their group, which starts at ``head``, with others."""
+    return ~(head & np.append(head[1:], True)[: len(head)])
+
+
+def _left(text: np.ndarray) -> np.ndarray:
+    """Bytes from each place to the end of its stretch."""
+    ends = np.flatnonzero(text == _END)
+    return np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(text))
+
+
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the suffixes of ``text`` in order, and where their first ``_KEY`` bytes change.
+
+    By prefix doubling, of the groups that are still undecided only. The byte 255 ends a
+    stretch: it is larger than all others, and of two the earlier is the smaller.
+    ``text`` must end with one.
     """
     n = len(text)
-    ends = np.flatnonzero(text == _END)
-    left = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n)
-    key = _eight(np.append(text, np.zeros(7, "u1"))).byteswap()
-    near = np.flatnonzero(left < 7)
-    key[near] &= np.uint64(2**64 - 1) << (np.uint64(8) * (7 - left[near]).astype("u8"))
-    order = np.argsort(key)
-    key = key[order]
-    head = np.append(True, key[1:] != key[:-1])
-    slots, rank, depth = np.arange(n), np.empty(n, "i8"), 8
+    left = _left(text)
+    padded = np.append(text, np.zeros(_KEY, "u1"))
+    key = np.zeros(n, "u8")
+    for at in range(_KEY):
+        key = key << np.uint64(8) | padded[at : at + n]
+    near = np.flatnonzero(left < _KEY - 1)
+    beyond = (8 * (_KEY - 1 - left[near])).astype("u8")
+    key[near] = key[near] >> beyond << beyond
+    order, key = _rising(key, 8 * _KEY)
+    head = first = _changes(key)
+    bits, depth = max(1, (n - 1).bit_length()), _KEY
+    slots, rank = np.arange(n, dtype="i4"), np.empty(n, "i4")
     rank[order] = np.maximum.accumulate(np.where(head, slots, 0))
     while True:
-        single = head & np.append(head[1:], True)
-        slots = slots[~single]
+        open_ = _several(head)
+        slots = slots[open_]
         if not len(slots):
-            return order
+            return order, first
+        group = (np.cumsum(head[open_]) - 1).astype("u8")
         at = order[slots]
         # a group that has met its end is ordered by place; in a group all have or none
-        beyond = np.where(left[at] < depth, at, rank[np.minimum(at + depth, n - 1)])
-        pair = rank[at].astype("u8") << np.uint64(32) | beyond.astype("u8")
-        by = np.argsort(pair)
-        pair, at = pair[by], at[by]
+        then = np.where(left[at] < depth, at, rank[np.minimum(at + depth, n - 1)])
+        by, pair = _rising(group << np.uint64(bits) | then.astype("u8"), bits + int(group[-1]).bit_length())
+        at = at[by]
         order[slots] = at
-        head = np.append(True, pair[1:] != pair[:-1])
+        head = _changes(pair)
         rank[at] = slots[np.maximum.accumulate(np.where(head, np.arange(len(slots)), 0))]
         depth *= 2
 
@@ -449,24 +490,27 @@ def common_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
     Places of one string follow each other and share a group number. Strings do not
     hold the byte 255. Intervals of two suffixes and more are extended backward, all
     of one length at a time: the bytes before an interval's suffixes split it into the
-    intervals of the strings longer by one, where the last-to-first mapping leads.
+    intervals of the strings longer by one, where the last-to-first mapping leads. The
+    first intervals are those of the suffix array's own first sort.
     """
-    order = suffix_array(text)
+    order, head = suffix_array(text)
     before = text[order - 1]  # the transform; the first suffix is preceded by the last byte
-    to = np.empty(len(text), "i8")
-    to[np.argsort(before, kind="stable")] = np.arange(len(text))
-    slots = np.arange(len(text))
-    group = np.zeros(len(text), "i4")
-    for _ in range(length):
+    to = np.empty(len(text), "i4")
+    to[np.argsort(before, kind="stable")] = np.arange(len(text), dtype="i4")
+    depth = _KEY if length >= _KEY else 0
+    if not depth:
+        head = np.arange(len(text)) == 0
+    slots = np.flatnonzero(_several(head) & (_left(text)[order] >= depth)).astype("i4")
+    group = np.cumsum(head, dtype="i4")[slots]
+    for _ in range(length - depth):
         byte = before[slots]
-        inside = byte != _END
-        if not inside.all():
-            slots, group, byte = slots[inside], group[inside], byte[inside]
         by = np.argsort(byte, kind="stable")
-        slots, group, byte = to[slots[by]], group[by], byte[by]
-        head = np.ones(len(slots), bool)
-        head[1:] = (group[1:] != group[:-1]) | (byte[1:] != byte[:-1])
-        several = ~(head & np.append(head[1:], True)[: len(head)])
+        byte = byte[by]
+        inside = int(np.searchsorted(byte, _END))
+        by, byte = by[:inside], byte[:inside]
+        slots, group = to[slots[by]], group[by]
+        head = _changes(group, byte)
+        several = _several(head)
         slots, group = slots[several], np.cumsum(head[several], dtype="i4")
         if not len(slots):
             break
@@ -477,7 +521,7 @@ def _repeats(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """By block, the runs of bytes to remove that a shard's stretches show."""
     extra = length - 1
     index: dict[bytes, int] = {}
-    owner, order, document, start, block = [], [], [], [], []
+    mark, owner, order, document, start, block = [], [], [], [], [], []
     out = [
         (b, r) for b, r in zip(rows["block"], rows["removed"], strict=True) if r is not None
     ]
@@ -490,6 +534,7 @@ def _repeats(rows: pd.DataFrame, length: int) -> pd.DataFrame:
             (index.setdefault(data[e - s : e], len(index)) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)),
             "i8", len(sizes),
         )
+        mark.append((known, np.frombuffer(row["anchor"], "<u4")))
         owner.append(known[np.frombuffer(row["owner"], "<u4")])
         order.append(np.frombuffer(row["order"], "<i8"))
         document.append(np.frombuffer(row["document"], "<u4"))
@@ -497,20 +542,33 @@ def _repeats(rows: pd.DataFrame, length: int) -> pd.DataFrame:
         block.append(np.full(len(owner[-1]), number))
     if owner:
         owner, order, document, start, block = map(np.concatenate, (owner, order, document, start, block))
+        marks = np.empty(len(index), "u4")
+        for known, values in mark:
+            marks[known] = values
+        # a stretch that is alone with its anchor has no string in common with others: they stand behind
+        found, counts = np.unique(marks, return_counts=True)
+        alone = counts[np.searchsorted(found, marks)] == 1
         contents = list(index)
         index.clear()
+        by = np.argsort(alone, kind="stable")
+        place_of = np.empty(len(by), "i8")
+        place_of[by] = np.arange(len(by))
+        owner = place_of[owner]
+        contents = [contents[i] for i in by.tolist()]
         sizes = np.fromiter(map(len, contents), "i8", len(contents))
-        text = np.frombuffer(b"\xff".join([*contents, b""]), "u1")
-        del contents
+        several = int((~alone).sum())
         begins = np.cumsum(sizes + 1) - sizes - 1
         first = np.full(len(sizes), _LAST)
         np.minimum.at(first, owner, order)
         first = np.repeat(first, sizes + 1)  # for each window the smallest id that holds it
-        place, group = common_prefixes(text, length)
-        if len(place):
-            heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-            least = np.minimum.reduceat(first[place], heads)
-            first[place] = np.repeat(least, np.diff(np.append(heads, len(place))))
+        if several:
+            text = np.frombuffer(b"\xff".join([*contents[:several], b""]), "u1")
+            del contents
+            place, group = common_prefixes(text, length)
+            if len(place):
+                heads = np.flatnonzero(_changes(group))
+                least = np.minimum.reduceat(first[place], heads)
+                first[place] = np.repeat(least, np.diff(np.append(heads, len(place))))
         windows = (sizes - extra)[owner]
         nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         again = first[np.repeat(begins[owner], windows) + nth] < np.repeat(order, windows)
