@@ -1,37 +1,25 @@
-"""Quality by the perplexity of an interpolated modified Kneser-Ney model.
+"""Quality by the perplexity of an interpolated modified Kneser-Ney model of bytes.
 
-Symbols are UTF-8 bytes folded to 128 classes, so an n-gram table of order 3 has
-at most 128^3 rows, however large the corpus: counts of all trusted texts are summed by
-n-gram in shards, and the finished table of probabilities (8 MB) is joined to every
-document's n-grams where the document is read. A second model, of word pairs, grows with
-the trusted texts and is joined to every document's counted items (``word_model``).
+The model (``byte_model``) is trained on trusted documents in two folds, and each document is
+scored by the fold it is not part of. A language's threshold is a quantile of the
+scores of its own trusted documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .byte_model import score
 from .sized import BROADCAST_ROWS, sized
-from .word_model import text_key, word_scores
-from .words import free_worker, text_slices
-
-SYMBOLS = 128
-_GRAMS = SYMBOLS**3
 
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """A language's threshold is the ``quantile`` of its trusted documents' scores. ``slack``
-    lifts it by so much of that quantile's distance from their median; more clean
-    documents stay then, and more junk.
+    """A language's threshold is the ``quantile`` of its trusted documents' scores.
 
     A document's mean is drawn to its language's as by ``prior`` further n-grams, as
     few n-grams say little. Languages with fewer than ``least_trusted`` trusted
@@ -40,119 +28,11 @@ class QualityConfig:
     """
 
     quantile: float = 0.99
-    slack: float = 0.0
     prior: int = 100
     least_trusted: int = 50
     broadcast_ids: int = BROADCAST_ROWS
 
 
-def symbol_table() -> np.ndarray:
-    """The class of each byte: letters and signs keep their own, digits share one."""
-    table = np.zeros(256, "uint8")
-    table[[9, 10, 11, 12, 13]] = 1
-    table[list(b"0123456789")] = 2
-    rest = [b for b in range(32, 127) if not 48 <= b <= 57]
-    table[rest] = np.arange(3, 3 + len(rest))
-    high = np.arange(128, 256)
-    table[high] = 3 + len(rest) + high % (SYMBOLS - 3 - len(rest))
-    return table
-
-
-def _gram_codes(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A code for the three symbols from each byte on, and the texts' byte offsets."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(texts.buffers()[2] or b"", "uint8")
-    start = np.frombuffer(texts.buffers()[1], "int64")[texts.offset] if len(texts) else 0
-    symbols = table[data[start : start + offsets[-1]]].astype("int32")
-    if len(symbols) < 3:
-        return np.zeros(0, "int32"), offsets
-    return (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:], offsets
-
-
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """``(gram, n)``: how often each three symbols follow each other in ``texts`` (text)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_worker()
-        table, total = symbol_table(), np.zeros(_GRAMS, "int64")
-        for batch in batches:
-            for some in text_slices(batch.column(0)):
-                codes, offsets = _gram_codes(some, table)
-                inside = np.ones(len(codes), bool)
-                ends = offsets[1:-1]
-                for back in (1, 2):  # n-grams that reach into the next text
-                    inside[ends[(ends >= back) & (ends - back < len(codes))] - back] = False
-                total += np.bincount(codes[inside], minlength=_GRAMS)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "n"])
-
-    partial = texts.select("text").mapInArrow(count, "gram long, n long")
-    return partial.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What modified Kneser-Ney takes off counts of 0, 1, 2 and 3 or more."""
-    n1, n2, n3, n4 = (max(1, int((counts == k).sum())) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    found = [0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return np.array([min(max(d, 0.05 * k), 0.95 * k) for k, d in enumerate(found)])
-
-
-def _interpolated(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Probabilities by context (rows) from discounted counts and the lower order."""
-    total = counts.sum(axis=-1, keepdims=True)
-    discount = _discounts(counts)[np.minimum(counts, 3)]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        own = np.where(total > 0, (counts - discount) / total, 0)
-        rest = np.where(total > 0, discount.sum(axis=-1, keepdims=True) / total, 1)
-    return own + rest * lower
-
-
-def kneser_ney(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Log2 of the probability of each n-gram's last symbol, for all n-grams."""
-    counts = np.zeros(_GRAMS, "int64")
-    counts[grams] = n
-    counts = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
-    before = (counts > 0).sum(axis=0)  # in how many contexts each pair follows
-    single = (before > 0).sum(axis=0)
-    p1 = _interpolated(single, np.full(SYMBOLS, 1 / SYMBOLS))
-    p2 = _interpolated(before, p1[None, :])
-    return np.log2(_interpolated(counts, p2[None, :, :])).astype("float32").ravel()
-
-
-def train(texts: DataFrame) -> np.ndarray:
-    """The model of ``texts`` (text); it has 128^3 numbers at every size of input."""
-    counted = gram_counts(texts).toPandas()  # at most 128^3 rows
-    return kneser_ney(counted["gram"].to_numpy("int64"), counted["n"].to_numpy("int64"))
-
-
-def bits_of(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """doc_id, lang, key, n_grams and bits (of all n-grams of the whole text) for each row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = symbol_table()
-        for batch in batches:
-            at = 0
-            for some in text_slices(batch.column("text")):
-                codes, offsets = _gram_codes(some, table)
-                upto = np.concatenate([[0.0], np.cumsum(-shared.value[codes], dtype="float64")])
-                n = np.maximum(np.diff(offsets) - 2, 0)
-                starts = np.minimum(offsets[:-1], len(upto) - 1)
-                bits = upto[np.minimum(starts + n, len(upto) - 1)] - upto[starts]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(at, len(some)),
-                    batch.column("lang").slice(at, len(some)), batch.column("key").slice(at, len(some)),
-                    pa.array(n), pa.array(bits),
-                ], names=["doc_id", "lang", "key", "n_grams", "bits"])
-                at += len(some)
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), text_key("doc_id", "text"), "text").mapInArrow(
-        score, "doc_id long, lang string, key long, n_grams long, bits double"
-    )
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """The distinct doc_ids that labels call good."""
     return labels.filter("quality = 1 AND doc_id IS NOT NULL").select(
@@ -160,30 +40,23 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def classify(
-    docs: DataFrame, labels: DataFrame, cfg: QualityConfig | None = None, words: bool = False
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, lang, n_grams, perplexity, threshold, kept.
-
-    With ``words`` also n_words and word_perplexity (null without words), of the word model.
-    Trusted documents are part of what that has counted, so theirs is low and
-    no threshold is drawn from it.
+def classify(docs: DataFrame, labels: DataFrame, cfg: QualityConfig | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, lang, n_grams, perplexity (of a byte), threshold, kept.
 
     ``docs`` has doc_id, lang, text; ``labels`` has doc_id and quality. The model is
     trained on all documents whose label is 1. A document is kept up to its
-    language's threshold. Null texts are empty; texts of fewer than three bytes have no
+    language's threshold. Null texts are empty; texts of fewer than five bytes have no
     n-grams and their language's mean perplexity, so they are kept. Null languages
     are a language; repeated rows are judged each; without trusted documents all
     is kept. An empty table gives none.
     """
     cfg = cfg or QualityConfig()
-    docs = docs.select("doc_id", "lang", "text")
-    trusted = stage(trusted_ids(labels), "trusted")
-    chosen = F.col("doc_id") == F.col("_trusted_id")
-    texts = docs.join(sized(trusted, cfg.broadcast_ids), chosen, "left_semi")
-    scored = stage(bits_of(docs, train(texts)), "scores")
-    good = scored.join(trusted, chosen, "left_semi")
-    by_lang = good.groupBy("lang").agg(
+    ids = sized(stage(trusted_ids(labels), "trusted"), cfg.broadcast_ids)
+    marked = docs.select("doc_id", "lang", "text").join(ids, F.col("doc_id") == F.col("_trusted_id"), "left")
+    scored = stage(
+        score(marked.select("doc_id", "lang", "text", F.col("_trusted_id").isNotNull().alias("trusted"))), "scores"
+    )
+    by_lang = scored.filter("trusted").groupBy("lang").agg(
         F.sum("bits").alias("bits"), F.sum("n_grams").alias("n"), F.count("*").alias("docs")
     )
     every = by_lang.agg(F.sum("bits").alias("bits"), F.sum("n").alias("n")).first()
@@ -197,27 +70,18 @@ def classify(
     same_lang = F.col("lang").eqNullSafe(F.col("_lang"))
     mean = F.round((F.col("bits") + cfg.prior * F.col("_mean")) / (F.col("n_grams") + cfg.prior), 4)
     judged = scored.join(stage(means, "means"), same_lang).select(
-        "doc_id", "lang", "key", "n_grams", "_own", mean.alias("_bits")
+        "doc_id", "lang", "trusted", "n_grams", "_own", mean.alias("_bits")
     )
-    good = stage(
-        judged.join(trusted, chosen, "left_semi").select("lang", "_own", "_bits"), "trusted-scores"
-    )
-    middle, high = F.percentile("_bits", F.lit(0.5)), F.percentile("_bits", F.lit(cfg.quantile))
-    at = high + (high - middle) * cfg.slack
+    good = stage(judged.filter("trusted").select("lang", "_own", "_bits"), "trusted-scores")
+    at = F.percentile("_bits", F.lit(cfg.quantile))
     of_all = good.agg(at.alias("t")).first().t
     own = good.filter("_own").groupBy("lang").agg(at.alias("_limit")).withColumnRenamed("lang", "_lang")
     limit = F.coalesce("_limit", F.lit(of_all).cast("double"))
-    judged = judged.join(stage(own, "thresholds"), same_lang, "left").select(
-        "doc_id", "lang", "key", "n_grams", F.pow(F.lit(2.0), "_bits").alias("perplexity"),
+    return judged.join(stage(own, "thresholds"), same_lang, "left").select(
+        "doc_id", "lang", "n_grams", F.pow(F.lit(2.0), "_bits").alias("perplexity"),
         F.pow(F.lit(2.0), limit).alias("threshold"),
         F.coalesce(F.col("_bits") <= limit, F.lit(True)).alias("kept"),
     )
-    if not words:
-        return judged.drop("key")
-    keyed = docs.select(text_key("doc_id", "text"), "text")
-    return judged.join(word_scores(keyed, texts), "key", "left").drop("key").withColumn(
-        "n_words", F.coalesce("n_words", F.lit(0).cast("long"))
-    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cfg: QualityConfig | None = None) -> DataFrame:

@@ -69,7 +69,7 @@ def op3_exact_top_k(spark, sf_dir):
 @query
 def op4_quality(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    return quality.classify(docs, labels, words=True)
+    return quality.classify(docs, labels)
 
 
 @query

@@ -28,7 +28,7 @@ def test_each_stage_against_brute_force(spark, sf_dir, table):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
 
-    score, limits = brute_scores([(r[0], r[2], r[1]) for r in rows], table("labels"))
+    score, limits = brute_scores(spark, [(r[0], r[2], r[1]) for r in rows], table("labels"))
     good = stages[0](spark, docs, sf_dir).cache()
     kept = sorted(map(tuple, good.collect()))
     assert good.columns == columns
