@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -16,15 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .words import kept_by_worker, text_slices
+from .words import free_worker, kept_by_worker, text_slices
 
 SEQUENCE_TOKENS = 2048
 #: Pieces that one task packs.
 SHARD_PIECES = 8192
 #: Distinct words whose ids a Python worker remembers; beyond, it forgets all and goes on.
-WORDS_KEPT = 1_200_000
+WORDS_KEPT = 600_000
 #: Bytes of text that are tokenized at a time.
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 4_000_000
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -125,7 +126,11 @@ class WordIds:
 
 
 def _ends_in_stop(word: str) -> bool:
-    return word[-1:] in (",", ".") and word[:-1].isalpha()
+    """Letters before a comma or full stop that are still letters as the tokenizer normalises them."""
+    stem = word[:-1]
+    if word[-1:] not in (",", ".") or not stem.isalpha():
+        return False
+    return stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha()
 
 
 @kept_by_worker
@@ -138,6 +143,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, most: int, end_id: int =
     """Each document's ids and ``end_id`` in pieces of ``most`` ids; the last may be shorter."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker(keep=_word_ids)
         words, end = _word_ids(tokenizer_path), np.array([end_id], "<u4")
         for batch in batches:
             rows = []
@@ -346,6 +352,7 @@ def _pack_shards(pieces: DataFrame, shards: int, most: int, turn: int) -> DataFr
         return group.assign(sequence_id=sequence, offset=offset, _fill=fill)
 
     shard = F.pmod(F.xxhash64(F.lit(turn), *pieces.columns), F.lit(shards))
-    return pieces.withColumn("_shard", shard).groupBy("_shard").applyInPandas(
+    # a task for each shard: pieces are few bytes, and packing them is the work
+    return pieces.withColumn("_shard", shard).repartition(shards, "_shard").groupBy("_shard").applyInPandas(
         packed, f"{_PIECE}, sequence_id long, offset long, _fill long"
     )

@@ -24,10 +24,11 @@ def kept_by_worker(make: Callable) -> Callable:
     return cached
 
 
-def free_worker() -> None:
-    """Frees what other operators keep in this worker, at the start of a task that needs the room."""
-    if any(cached.cache_info().currsize for cached in _kept):
-        for cached in _kept:
+def free_worker(keep: Callable | None = None) -> None:
+    """Frees what operators keep in this worker, but for ``keep``, at the start of a task that needs the room."""
+    others = [cached for cached in _kept if cached is not keep]
+    if any(cached.cache_info().currsize for cached in others):
+        for cached in others:
             cached.cache_clear()
         gc.collect()
     pa.default_memory_pool().release_unused()

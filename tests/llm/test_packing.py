@@ -58,7 +58,7 @@ def test_several_shards_and_rounds(spark, documents):
 
 def test_edge_cases(spark, documents):
     rows = [(None, "a b"), (1, None), (1, None), (2, ""), (3, "x " * 9000), (4, "<|endoftext|> A <|ENDOFTEXT|>"),
-            (5, "Ünïcode, é İstanbul ΣΑΣ.\tx\x1cy z"), (6, "a,b. it's 'll 12ab ,.")]
+            (5, "Ünïcode, é İstanbul ΣΑΣ.\tx\x1cy z"), (6, "a,b. it's 'll 12ab ,."), (7, "İ. İ, Üb. ΑΣ. é\u0301, e\u0301.")]
     check_packed(pk.pack(documents(rows)), rows)
     assert pk.pack(documents([])).collect() == []
 
@@ -77,7 +77,7 @@ def test_local_search_saves_bins():
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(
-    alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("aAbeé ,.'\n\t<|s"))), max_size=40
+    alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("aAbeéİΣ ,.'\n\t<|s"))), max_size=40
 ), min_size=1, max_size=4))
 def test_words_give_the_tokenizer_s_ids(texts):
     got = [ids.tolist() for ids in WORDS.encode(pa.array(texts, pa.string()))]
