@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from ..config import FEATURE_COLUMNS
+from ..config import FEATURE_COLUMNS, DetectorConfig
 from ..operators.features import WINDOW_COLUMNS
 
 ALERT_PCT, CATASTROPHIC_PCT, SLICE_HOURS = 0.95, 0.99, 12
@@ -188,7 +188,7 @@ def _psi(bins: str, edges: str) -> str:
       GROUP BY name) m ON m.name = e.name"""
 
 
-_SCALED = ", ".join(f"(r.{c} - s.m_{c}) / s.s_{c} AS {c}" for c in FEATURE_COLUMNS)
+_SCALED = ", ".join(f"round((r.{c} - s.m_{c}) / s.s_{c}, 9) AS {c}" for c in FEATURE_COLUMNS)
 _SCALER = ", ".join(
     f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}"
     for c in FEATURE_COLUMNS
@@ -197,6 +197,137 @@ _DISTANCE = "round(sqrt(" + " + ".join(
     f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATURE_COLUMNS
 ) + "), 9)"
 
+_TREES, _SAMPLE, _PRIME = 200, 256, 2147483647
+_LEVELS = 8  # of trees over at most _SAMPLE rows
+_SEED = DetectorConfig().seed
+
+
+def _hex(digest: str, start: int, count: int) -> str:
+    return f"('0x' || substr({digest}, {start}, {count}))::BIGINT"
+
+
+def _split(level: int) -> str:
+    """The nodes of one level: what each splits by, or feature -1."""
+    def each(kind):
+        return ", ".join(f"{kind}(x[{i + 1}])" for i in range(len(FEATURE_COLUMNS)))
+
+    return f"""
+    SELECT tree, node, size, CASE WHEN feature IS NULL THEN -1 ELSE feature END AS feature,
+      CASE WHEN feature IS NULL THEN 0.0 WHEN place >= high THEN low ELSE place END AS threshold
+    FROM (SELECT tree, node, size, feature, lows[feature + 1] AS low, highs[feature + 1] AS high,
+            lows[feature + 1] + (highs[feature + 1] - lows[feature + 1])
+              * ({_hex('digest', 8, 13)}::DOUBLE / 4503599627370496.0) AS place
+          FROM (SELECT *, CASE WHEN len(usable) > 0 AND {level} < max_depth
+                    THEN usable[{_hex('digest', 1, 7)} % len(usable) + 1] END AS feature
+                FROM (SELECT *, md5('{_SEED}:' || tree || ':' || node) AS digest,
+                        list_filter(range(0, {len(FEATURE_COLUMNS)}), lambda i: highs[i + 1] > lows[i + 1]) AS usable
+                      FROM (SELECT tree, node, count(*) AS size, [{each('min')}] AS lows, [{each('max')}] AS highs
+                            FROM forest_{level} GROUP BY tree, node)
+                      CROSS JOIN forest_size)))"""
+
+
+def _average_path(size: str) -> str:
+    return (
+        f"CASE WHEN {size} <= 1 THEN 0.0 WHEN {size} = 2 THEN 1.0 ELSE "
+        f"2.0 * (ln({size} - 1.0) + 0.5772156649015329) - 2.0 * ({size} - 1.0) / {size} END"
+    )
+
+
+def _forest() -> dict[str, str]:
+    """Trees grown and walked level by level, from the digits of MD5 sums."""
+    blocks = {
+        "forest_rows": f"""
+    SELECT row_key, [{', '.join(FEATURE_COLUMNS)}]::DOUBLE[] AS x, {_hex('md5(row_key)', 1, 15)} % {_PRIME} AS number
+    FROM scaled""",
+        "forest_size": f"""
+    SELECT least(count(*), {_SAMPLE}) AS sample, ceil(log2(greatest(least(count(*), {_SAMPLE}), 2))) AS max_depth
+    FROM forest_rows""",
+        "forest_factors": f"""
+    SELECT tree, 1 + {_hex('digest', 1, 15)} % {_PRIME - 1} AS a, {_hex('digest', 16, 15)} % {_PRIME} AS b
+    FROM (SELECT tree, md5('{_SEED}:' || tree) AS digest FROM range({_TREES}) t(tree))""",
+        "forest_0": f"""
+    SELECT tree, row_key, x, 1::BIGINT AS node FROM forest_rows CROSS JOIN forest_factors
+    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (number * a + b) % {_PRIME}, row_key) <= {_SAMPLE}""",
+    }
+    for level in range(_LEVELS + 1):
+        blocks[f"split_{level}"] = _split(level)
+        if level < _LEVELS:
+            blocks[f"forest_{level + 1}"] = f"""
+    SELECT r.tree, r.row_key, r.x, 2 * r.node + CASE WHEN r.x[s.feature + 1] <= s.threshold THEN 0 ELSE 1 END AS node
+    FROM forest_{level} r JOIN split_{level} s ON r.tree = s.tree AND r.node = s.node WHERE s.feature >= 0"""
+    blocks["forest"] = " UNION ALL ".join(
+        f"SELECT *, {level} AS depth FROM split_{level}" for level in range(_LEVELS + 1)
+    )
+    blocks["walk_0"] = "SELECT row_key, x, tree, 1::BIGINT AS node FROM forest_rows CROSS JOIN forest_factors"
+    for level in range(_LEVELS):
+        blocks[f"walk_{level + 1}"] = f"""
+    SELECT w.row_key, w.x, w.tree, CASE WHEN n.feature < 0 THEN w.node
+             ELSE 2 * w.node + CASE WHEN w.x[n.feature + 1] <= n.threshold THEN 0 ELSE 1 END END AS node
+    FROM walk_{level} w JOIN forest n ON w.tree = n.tree AND w.node = n.node"""
+    blocks["if_raws"] = f"""
+    SELECT row_key, 0.5 - pow(2.0, -avg(depth + {_average_path('size')}) / any_value({_average_path('sample')})) AS if_raw
+    FROM walk_{_LEVELS} w JOIN forest n ON w.tree = n.tree AND w.node = n.node CROSS JOIN forest_size GROUP BY row_key"""
+    return blocks
+
+
+def _density_sql(side: str) -> str:
+    return (
+        f"ln({side}_mass / total) - 0.5 * (ln(2.0 * pi() * {side}_variance)"
+        f" + (x - {side}_mean) * (x - {side}_mean) / {side}_variance)"
+    )
+
+
+def _component_sql(side: str, mass: str, sx: str, sxx: str) -> str:
+    return (
+        f"{mass} + 1e-15 AS {side}_mass, {sx} / ({mass} + 1e-15) AS {side}_mean, greatest({sxx} / ({mass} + 1e-15)"
+        f" - ({sx} / ({mass} + 1e-15)) * ({sx} / ({mass} + 1e-15)), 0.0) + 1e-6 AS {side}_variance"
+    )
+
+
+_NORM = "greatest(low, high) + ln(1.0 + exp(-abs(low - high)))"
+_MIXED = ", ".join(f"{side}_{part}" for side in ("low", "high") for part in ("mass", "mean", "variance"))
+
+
+def _mixture(name: str, scores: str) -> dict[str, str]:
+    """Expectation-maximisation over the histogram of ``scores``: a row of state for each round."""
+    held = ", ".join(f"CASE WHEN stop THEN o_{c} ELSE {c} END AS {c}" for c in _MIXED.split(", "))
+    return {
+        f"{name}_hist": f"""
+    SELECT fused_score AS x, count(*)::DOUBLE AS w FROM {scores} GROUP BY fused_score""",
+        f"{name}_all": f"""
+    SELECT sum(w) AS total, sum(w) < 4 OR sqrt(sum(w * (x - mean) * (x - mean)) / sum(w)) < 1e-9 AS flat
+    FROM {name}_hist CROSS JOIN (SELECT sum(w * x) / sum(w) AS mean FROM {name}_hist)""",
+        f"{name}_sums": f"""
+    SELECT x, sum(w) OVER u AS lm, sum(w * x) OVER u AS lx, sum(w * x * x) OVER u AS lxx,
+      sum(w) OVER () - sum(w) OVER u AS hm, sum(w * x) OVER () - sum(w * x) OVER u AS hx,
+      sum(w * x * x) OVER () - sum(w * x * x) OVER u AS hxx
+    FROM {name}_hist WINDOW u AS (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        f"{name}_em": f"""
+    SELECT 0 AS i, {_component_sql('low', 'lm', 'lx', 'lxx')}, {_component_sql('high', 'hm', 'hx', 'hxx')},
+      '-Infinity'::DOUBLE AS bound, false AS stop
+    FROM (SELECT * FROM {name}_sums WHERE hm > 0 ORDER BY lxx - lx * lx / lm + hxx - hx * hx / hm, x LIMIT 1)
+    UNION ALL
+    SELECT i + 1, {held}, bound, stop FROM (
+      SELECT i, {', '.join(f'o_{c}' for c in _MIXED.split(', '))}, b AS bound, abs(b - old) < 1e-3 OR i >= 99 AS stop,
+        {_component_sql('low', 'lm', 'lx', 'lxx')}, {_component_sql('high', 'hm', 'hx', 'hxx')}
+      FROM (
+        SELECT i, {', '.join(f'any_value({c}) AS o_{c}' for c in _MIXED.split(', '))}, any_value(bound) AS old,
+          sum(w * norm) / any_value(total) AS b,
+          sum(w * exp(low - norm)) AS lm, sum(w * exp(low - norm) * x) AS lx, sum(w * exp(low - norm) * x * x) AS lxx,
+          sum(w * exp(high - norm)) AS hm, sum(w * exp(high - norm) * x) AS hx, sum(w * exp(high - norm) * x * x) AS hxx
+        FROM (SELECT *, {_NORM} AS norm FROM (
+          SELECT e.*, x, w, total, {_density_sql('low')} AS low, {_density_sql('high')} AS high
+          FROM {name}_em e CROSS JOIN {name}_hist CROSS JOIN {name}_all WHERE NOT stop))
+        GROUP BY i))""",
+        f"{name}": f"""
+    SELECT x AS fused_score, CASE WHEN flat OR i IS NULL THEN 0.0 ELSE
+      round(exp(CASE WHEN high_mean > low_mean THEN high ELSE low END - ({_NORM})), 4) END AS anomaly_prob
+    FROM (SELECT h.x, total, flat, e.*, {_density_sql('low')} AS low, {_density_sql('high')} AS high
+          FROM {name}_hist h CROSS JOIN {name}_all
+          LEFT JOIN (SELECT * FROM {name}_em ORDER BY i DESC LIMIT 1) e ON true)""",
+    }
+
+
 SIGNAL_RULES = (
     ("breaks", "break_count > 0"),
     ("rare_paths", "rare_path_count > 0"),
@@ -215,6 +346,29 @@ SIGNAL_RULES = (
     ("entropy_deviation", "entropy_z_max > 3.0"),
     ("burst_rate", "burst_rate > 20"),
 )
+# Wording of the signals; what is shown is rounded half to even.
+_WORDING = (
+    ("grammar-breaking URLs in window: %d of %d (%.0f%%)", "break_count, n_requests, round_even(break_ratio * 100.0, 0)"),
+    ("never-before-seen paths in window: %d of %d", "rare_path_count, n_requests"),
+    ("query non-alphanumeric char ratio (max): %.3f", "round_even(query_non_alnum_max, 3)"),
+    ("path non-alphanumeric char ratio (max): %.3f", "round_even(path_non_alnum_max, 3)"),
+    ("query pct-encoded char ratio: %.3f", "round_even(query_encoded_ratio, 3)"),
+    ("max query length: %.0f chars", "round_even(q_len_max, 0)"),
+    ("query token entropy (max): %.2f", "round_even(token_entropy_max, 2)"),
+    ("single-parameter entropy (max): %.2f", "round_even(max_param_entropy, 2)"),
+    ("char-class transition rate (max): %.2f (syntax-like structure)", "round_even(transition_rate_max, 2)"),
+    ("500-error ratio: %.2f (possible landed payload)", "round_even(status_500_ratio, 2)"),
+    ("4xx-error ratio: %.2f", "round_even(status_4xx_ratio, 2)"),
+    ("query diversity: %.2f (many unique payload shapes)", "round_even(query_diversity, 2)"),
+    ("path rarity (max): %.2f (rare vs. training traffic)", "round_even(path_rarity_max, 2)"),
+    ("query length deviation for this path: %.1f std devs from this path''s norm", "round_even(qlen_z_max, 1)"),
+    ("query entropy deviation for this path: %.1f std devs from this path''s norm", "round_even(entropy_z_max, 1)"),
+    ("burst rate: %.1f req/min", "round_even(burst_rate, 1)"),
+)
+_TEXTS = "concat_ws('; ', " + ", ".join(
+    f"CASE WHEN {rule} THEN printf('{text}', {values}) END"
+    for (_, rule), (text, values) in zip(SIGNAL_RULES, _WORDING, strict=True)
+) + ")"
 _CODES = "concat_ws(',', " + ", ".join(
     f"CASE WHEN {rule} THEN '{code}' END" for code, rule in SIGNAL_RULES
 ) + ")"
@@ -294,7 +448,8 @@ BLOCKS: dict[str, str] = {
     FROM flagged f CROSS JOIN (SELECT quantile_cont(fused_score, 0.33) AS s33,
                                       quantile_cont(fused_score, 0.66) AS s66 FROM flagged) q""",
     "signals": f"""
-    SELECT a.*, CASE WHEN {_CODES} = '' THEN 'general' ELSE {_CODES} END AS signal_codes
+    SELECT a.*, CASE WHEN {_CODES} = '' THEN 'general' ELSE {_CODES} END AS signal_codes,
+      CASE WHEN {_CODES} = '' THEN 'general statistical URL anomaly — no single dominant signal' ELSE {_TEXTS} END AS signal_texts
     FROM alerts a CROSS JOIN p95""",
     "evidence": """
     SELECT t.event_id, t.ip, a.window_ts, t.ts, t.url,
@@ -395,6 +550,18 @@ BLOCKS: dict[str, str] = {
 }
 
 
+BLOCKS |= _forest()
+# the model's own scores in place of the plain ones
+BLOCKS["real_raw"] = "SELECT k.*, i.if_raw, l.lof_raw FROM keyed k JOIN if_raws i USING (row_key) JOIN lof l USING (row_key)"
+BLOCKS["real_trained"] = _thresholds("real_raw")
+BLOCKS["real_cuts"] = _cuts("real_trained")
+_SCORED = ("scored", "gated", "flagged", "alerts", "signals", "evidence", "urls")
+BLOCKS |= {
+    f"real_{block}": re.sub(rf"\b(trained|cuts|{'|'.join(_SCORED)})\b", r"real_\1", BLOCKS[block]) for block in _SCORED
+}
+BLOCKS |= _mixture("mixture", "gated") | _mixture("real_mixture", "real_gated")
+
+
 def _needs(text: str) -> list[str]:
     words = set(re.findall(r"[a-z_0-9]+", text))
     return [b for b in BLOCKS if b in words]
@@ -409,7 +576,8 @@ def chain(select: str) -> str:
             wanted.add(block)
             todo += [b for b in _needs(BLOCKS[block]) if b != block]
     ctes = [f"{name} AS ({BLOCKS[name].strip()})" for name in BLOCKS if name in wanted]
-    return f"WITH {', '.join(ctes)} {select}" if ctes else select
+    recursive = "RECURSIVE " if any(name.endswith("_em") for name in wanted) else ""
+    return f"WITH {recursive}{', '.join(ctes)} {select}" if ctes else select
 
 
 def rounded(columns, plain=()) -> str:
@@ -529,10 +697,19 @@ SELECTS: dict[str, str] = {
     "o3_history_append": "SELECT ts::DATE AS dt, count(*) AS n FROM log GROUP BY ALL",
     "o4_time_order": "SELECT event_id, ts FROM log",
     "m1_scale": "SELECT row_key, name AS feature, round(x, 6) AS x FROM (SELECT * FROM scaled) UNPIVOT (x FOR name IN (" + ", ".join(FEATURE_COLUMNS) + "))",
+    "m2_forest_fit": """
+        SELECT tree::INTEGER AS tree_id, node::INTEGER AS node_id, feature::INTEGER AS feature,
+          round(threshold, 6) AS threshold, CASE WHEN feature < 0 THEN -1 ELSE 2 * node END::INTEGER AS "left",
+          CASE WHEN feature < 0 THEN -1 ELSE 2 * node + 1 END::INTEGER AS "right", depth::INTEGER AS depth,
+          size::INTEGER AS size FROM forest""",
+    "m3_forest_score": "SELECT row_key, round(if_raw, 6) AS if_raw FROM if_raws",
     "m4_lof_fit": "SELECT rid, round(k_dist, 6) AS k_dist, round(lrd, 6) AS lrd FROM k_dist JOIN density USING (rid)",
     "m5_lof_score": "SELECT row_key, round(lof_raw, 6) AS lof_raw FROM lof",
+    "m6_mixture_posterior": "SELECT ip, window_ts, fused_score, anomaly_prob FROM gated JOIN mixture USING (fused_score)",
     "m7_calibration": "SELECT round(t1, 6) AS fused_threshold, round(t2, 6) AS catastrophic_threshold, ip, window_ts, " + rounded(_SCORES) + " FROM trained CROSS JOIN cuts",
     "m8_feature_vector": "SELECT ip, window_ts, i::INTEGER AS i, round(x[i + 1], 6) AS x FROM (SELECT ip, window_ts, [" + ", ".join(f"{c}::DOUBLE" for c in FEATURE_COLUMNS) + "] AS x, unnest(range(0, 24)) AS i FROM windows)",
+    "m9_score_windows": "SELECT ip, window_ts, if_score, lof_score, fused_score FROM real_scored",
+    "m10_train_candidate": "SELECT ip, window_ts, " + rounded(_SCORES) + " FROM real_trained",
     "l1_alert_gate": "SELECT ip, window_ts, fused_score, anomaly_flag, alert_kind, relative_score FROM gated",
     "l2_severity": "SELECT ip, window_ts, fused_score, severity FROM alerts",
     "l3_signals": "SELECT ip, window_ts, signal_codes FROM signals",
@@ -562,6 +739,14 @@ SELECTS: dict[str, str] = {
     "r3_reject": "SELECT 'model_v' || (slice + 1) AS model_id FROM slice_windows WHERE slice % 2 = 1",
     "r4_rollback": "SELECT 'model_v1' AS model_id FROM slice_windows WHERE slice = 0",
     "t1_bootstrap": "SELECT 'model_v1' AS model_id, 'approved' AS status, count(*) AS n_train_windows FROM windows",
+    "t2_score_batch": """
+        SELECT 'model_v1' AS detected_by_model, alert_kind, severity, ip, window_ts AS window_start_utc,
+          60::INTEGER AS window_minutes, n_requests, if_score, lof_score, fused_score, relative_score, anomaly_prob,
+          signal_texts AS signals, url
+        FROM real_signals JOIN real_urls USING (ip, window_ts) JOIN real_mixture USING (fused_score)""",
+    "t4_microbatch_scoring": """
+        SELECT alert_kind, severity, ip, n_requests, fused_score, url
+        FROM real_alerts JOIN real_urls USING (ip, window_ts)""",
     "t3_backtest": """
         SELECT slice, n AS n_records, CASE WHEN slice > 0 THEN 'model_v' || slice END AS scored_by,
                'model_v' || (slice + 1) AS trained FROM slices""",

@@ -850,7 +850,7 @@ def m1_scale(spark, sf):
 
 @query
 def m2_forest_fit(spark, sf):
-    return _library(spark, sf).active().forest
+    return _six(_library(spark, sf).active().forest)
 
 
 @query
@@ -858,7 +858,7 @@ def m3_forest_score(spark, sf):
     model = _library(spark, sf).active()
     scorer = forest_scorer(model.forest, min(CFG.tree_sample, model.n_train_windows))
     scaled = scale(_keyed(spark, sf), model.scaler)
-    return scaled.select("row_key", scorer(F.col("x")).alias("if_raw"))
+    return _six(scaled.select("row_key", scorer(F.col("x")).alias("if_raw")))
 
 
 def _lof(spark, sf):
@@ -913,7 +913,7 @@ def m9_score_windows(spark, sf):
 @query
 def m10_train_candidate(spark, sf):
     model = _library(spark, sf).active()
-    return model.training.select("ip", "window_ts", "if_score", "lof_score", "fused_score")
+    return _six(model.training.select("ip", "window_ts", "if_score", "lof_score", "fused_score"))
 
 
 # --- alerts -------------------------------------------------------------------
@@ -1128,7 +1128,8 @@ def t1_bootstrap(spark, sf):
 @query
 def t2_score_batch(spark, sf):
     alerts = J.score_with_active(access_log(spark, sf), _library(spark, sf), CFG)
-    return P.drop_join_helpers(alerts).drop("generated_at")
+    shown = alerts.withColumn("signals", F.array_join("signals", "; "))
+    return P.drop_join_helpers(shown).drop("generated_at")
 
 
 def _backtest(spark, sf, lag: int) -> DataFrame:

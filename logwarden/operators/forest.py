@@ -1,7 +1,13 @@
-"""Isolation forest: each tree grown in its own task, scored in Arrow batches."""
+"""Isolation forest: each tree grown in its own task, scored in Arrow batches.
+
+All random choices are digits of MD5 sums of (seed, tree) and (seed, tree, node), and
+nodes are numbered as in a heap. So a forest depends on the rows and the seed only, and can
+be grown again, tree by tree or level by level, by any engine.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -17,6 +23,24 @@ NODE_SCHEMA = (
     "left int, right int, depth int, size int"
 )
 _EULER = 0.5772156649015329
+#: Rows are drawn by (a * key + b) modulo this prime, which keeps products in 64 bits.
+_PRIME = 2**31 - 1
+
+
+def _digits(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def tree_factors(tree: int, seed: int) -> tuple[int, int]:
+    """The ``a`` and ``b`` that deal a tree's rows."""
+    digits = _digits(f"{seed}:{tree}")
+    return 1 + int(digits[:15], 16) % (_PRIME - 1), int(digits[15:30], 16) % _PRIME
+
+
+def node_draw(tree: int, node: int, seed: int) -> tuple[int, float]:
+    """A number to choose the feature by, and where in [0, 1) of its range to split."""
+    digits = _digits(f"{seed}:{tree}:{node}")
+    return int(digits[:7], 16), int(digits[7:20], 16) / 2.0**52
 
 
 def average_path(size: np.ndarray) -> np.ndarray:
@@ -30,23 +54,24 @@ def average_path(size: np.ndarray) -> np.ndarray:
 def tree_samples(scaled: DataFrame, keys: list[str], n_rows: int, cfg: DetectorConfig) -> DataFrame:
     """``(tree_id, draw, x)``: ``min(tree_sample, n)`` rows per tree, without replacement.
 
-    A row joins a tree when its hash for that tree is small. The cut leaves room
+    A row joins a tree when its draw for that tree is small. The cut leaves room
     ten deviations above the wanted size, so the ranking that picks the exact
     number sees a few hundred rows per tree whatever the size of the table.
     """
     wanted = min(cfg.tree_sample, n_rows)
     room = wanted + 10.0 * math.sqrt(wanted) + 10.0
-    share = min(1.0, room / max(n_rows, 1))
-    cut = int(-(2**63) + share * (2**64 - 1)) if share < 1.0 else 2**63 - 1
-    key_hash = F.xxhash64(*keys)
+    cut = math.ceil(_PRIME * min(1.0, room / max(n_rows, 1)))
+    number = F.conv(F.substring(F.md5(F.concat_ws("|", *keys).cast("binary")), 1, 15), 16, 10).cast("long")
+    factors = [tree_factors(t, cfg.seed) for t in range(cfg.trees)]
+    a, b = (F.lit(list(column)).cast("array<long>") for column in zip(*factors, strict=True))
     draws = F.transform(
-        F.sequence(F.lit(0), F.lit(cfg.trees - 1)),
-        lambda t: F.struct(
-            t.alias("tree_id"), F.xxhash64(F.col("key_hash"), t, F.lit(cfg.seed)).alias("draw")
+        F.arrays_zip(a.alias("a"), b.alias("b")),
+        lambda f, t: F.struct(
+            t.alias("tree_id"), ((F.col("number") * f["a"] + f["b"]) % F.lit(_PRIME)).alias("draw")
         ),
     )
-    picked = scaled.select(key_hash.alias("key_hash"), *keys, "x").select(
-        *keys, "x", F.inline(F.filter(draws, lambda d: d["draw"] <= F.lit(cut)))
+    picked = scaled.select((number % F.lit(_PRIME)).alias("number"), *keys, "x").select(
+        *keys, "x", F.inline(F.filter(draws, lambda d: d["draw"] < F.lit(cut)))
     )
     # a fixed number of partitions: the rows are few, but growing the trees is the
     # work, so they must not be coalesced into one task
@@ -61,29 +86,26 @@ def tree_samples(scaled: DataFrame, keys: list[str], n_rows: int, cfg: DetectorC
 
 
 def _grow(sample: pd.DataFrame, seed: int, max_depth: int) -> pd.DataFrame:
+    """One tree: node n has the children 2n (up to the threshold) and 2n + 1."""
     tree_id = int(sample["tree_id"].iloc[0])
-    x = np.vstack(sample.sort_values("rank")["x"].to_numpy())
-    rng = np.random.default_rng([seed, tree_id])
-    nodes: list[list] = []
-    todo = [(np.arange(len(x)), 0, -1, 0)]
-    while todo:
-        rows, depth, parent, side = todo.pop()
-        node = len(nodes)
-        if parent >= 0:
-            nodes[parent][4 + side] = node
+    x = np.vstack(sample["x"].to_numpy())
+    nodes = []
+    todo = [(1, 0, np.arange(len(x)))]
+    for node, depth, rows in todo:
         low, high = x[rows].min(axis=0), x[rows].max(axis=0)
         splittable = np.flatnonzero(high > low)
-        nodes.append([tree_id, node, -1, 0.0, -1, -1, depth, len(rows)])
         if depth >= max_depth or len(splittable) == 0:
+            nodes.append([tree_id, node, -1, 0.0, -1, -1, depth, len(rows)])
             continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        choice, place = node_draw(tree_id, node, seed)
+        feature = int(splittable[choice % len(splittable)])
+        threshold = float(low[feature] + (high[feature] - low[feature]) * place)
         if threshold >= high[feature]:
             threshold = float(low[feature])
         goes_left = x[rows, feature] <= threshold
-        nodes[node][2:4] = [feature, threshold]
-        todo.append((rows[~goes_left], depth + 1, node, 1))
-        todo.append((rows[goes_left], depth + 1, node, 0))
+        nodes.append([tree_id, node, feature, threshold, 2 * node, 2 * node + 1, depth, len(rows)])
+        todo.append((2 * node, depth + 1, rows[goes_left]))
+        todo.append((2 * node + 1, depth + 1, rows[~goes_left]))
     names = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
     return pd.DataFrame(nodes, columns=names)
 
@@ -106,13 +128,20 @@ def forest_scorer(nodes: DataFrame, sample_size: int):
     """
     table = nodes.orderBy("tree_id", "node_id").toPandas()
     starts = table.groupby("tree_id")["node_id"].size().cumsum().shift(fill_value=0)
-    base = table["tree_id"].map(starts).to_numpy()
+    key = table["tree_id"].to_numpy(np.int64) << 32
+    known = key + table["node_id"].to_numpy(np.int64)  # rising, as the table is ordered
+    feature = table["feature"].to_numpy(dtype=np.int64)
+
+    def child(side: str) -> np.ndarray:
+        at = np.searchsorted(known, key + table[side].to_numpy(np.int64))
+        return np.where(feature < 0, -1, at).astype(np.int64)
+
     packed = {
         "roots": starts.to_numpy(dtype=np.int64),
-        "feature": table["feature"].to_numpy(dtype=np.int64),
+        "feature": feature,
         "threshold": table["threshold"].to_numpy(),
-        "left": np.where(table["left"] < 0, -1, table["left"] + base).astype(np.int64),
-        "right": np.where(table["right"] < 0, -1, table["right"] + base).astype(np.int64),
+        "left": child("left"),
+        "right": child("right"),
         "path": table["depth"].to_numpy() + average_path(table["size"].to_numpy()),
         "norm": float(average_path(np.array([sample_size]))[0]),
         "depth": int(table["depth"].max()),

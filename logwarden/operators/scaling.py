@@ -26,10 +26,14 @@ def collect_scaler(stats: DataFrame) -> dict[str, tuple[float, float]]:
     return {r["feature"]: (r["mean"], r["std"]) for r in stats.collect()}
 
 
+#: Decimals of a scaled input: sums taken in another order give the same vector.
+DIGITS = 9
+
+
 def scale(windows: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
-    """Add ``x``: the scaled model inputs in their fixed order."""
+    """Add ``x``: the scaled model inputs in their fixed order, with ``DIGITS`` decimals."""
     scaled = [
-        (F.col(c).cast("double") - F.lit(scaler[c][0])) / F.lit(scaler[c][1])
+        F.round((F.col(c).cast("double") - F.lit(scaler[c][0])) / F.lit(scaler[c][1]), DIGITS) + F.lit(0.0)
         for c in FEATURE_COLUMNS
     ]
     return windows.withColumn("x", F.array(*scaled))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from logwarden.config import DetectorConfig
 from logwarden.operators import forest as IF
 from logwarden.operators import neighbours as N
-from logwarden.operators.mixture import upper_posterior, with_anomaly_prob
+from logwarden.operators.mixture import posteriors, with_anomaly_prob
 from logwarden.operators.scaling import collect_scaler, scale, scaler_stats
 from logwarden.session import stage
 
@@ -37,7 +37,7 @@ def test_samples_are_exact_and_stable(spark):
 def test_hand_built_tree(spark):
     # root splits x0 at 1.0; left leaf holds one row, right leaf two
     nodes = spark.createDataFrame(
-        [(0, 0, 0, 1.0, 1, 2, 0, 3), (0, 1, -1, 0.0, -1, -1, 1, 1), (0, 2, -1, 0.0, -1, -1, 1, 2)],
+        [(0, 1, 0, 1.0, 2, 3, 0, 3), (0, 2, -1, 0.0, -1, -1, 1, 1), (0, 3, -1, 0.0, -1, -1, 1, 2)],
         IF.NODE_SCHEMA,
     )
     scorer = IF.forest_scorer(nodes, 3)
@@ -131,9 +131,50 @@ def test_mixture_prefers_the_larger_mean(spark):
     assert min(got[v] for v in high) > 0.95 and max(got[round(v, 4)] for v in low) < 0.05
 
 
-def test_mixture_degenerate():
-    assert list(upper_posterior(np.array([0.1, 0.5, 0.9]), np.ones(3))) == [0, 0, 0]
-    assert list(upper_posterior(np.array([0.4]), np.array([50.0]))) == [0]
+def em(x, w):
+    """The same fit in plain numpy."""
+    total, mean = w.sum(), (w * x).sum() / w.sum()
+    if total < 4 or np.sqrt((w * (x - mean) ** 2).sum() / total) < 1e-9:
+        return np.zeros(len(x))
+    cost = [
+        sum((w[p] * (x[p] - np.average(x[p], weights=w[p])) ** 2).sum() for p in (slice(0, i), slice(i, None)))
+        for i in range(1, len(x))
+    ]
+    upper = (np.arange(len(x)) > int(np.argmin(cost))).astype(float)
+    resp, previous = np.column_stack([1 - upper, upper]), -np.inf
+    for i in range(101):
+        mass = (resp * w[:, None]).sum(axis=0) + 1e-15
+        mu = (resp * (w * x)[:, None]).sum(axis=0) / mass
+        var = (resp * (w[:, None] * (x[:, None] - mu) ** 2)).sum(axis=0) / mass + 1e-6
+        logp = np.log(mass / total) - 0.5 * (np.log(2 * np.pi * var) + (x[:, None] - mu) ** 2 / var)
+        norm = np.logaddexp(logp[:, 0], logp[:, 1])
+        resp, bound = np.exp(logp - norm[:, None]), (w * norm).sum() / total
+        if abs(bound - previous) < 1e-3 or i == 99:
+            break
+        previous = bound
+    return resp[:, int(np.argmax(mu))]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mixture_agrees_with_numpy(spark, seed):
+    rng = np.random.default_rng(seed)
+    values = np.concatenate([rng.normal(0.2, 0.05, 300), rng.normal(0.6 - seed / 10, 0.1, 40), [0.0] * 50])
+    x, w = np.unique(np.round(np.clip(values, 0, 1), 4), return_counts=True)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, w)], "x double, w double").repartition(3)
+    got = {r.x: r.posterior for r in posteriors(df).collect()}
+    want = em(x, w.astype(float))
+    assert max(abs(got[float(a)] - b) for a, b in zip(x, want)) < 2e-4
+
+
+def test_mixture_degenerate(spark):
+    def run(rows):
+        return sorted(tuple(r) for r in posteriors(spark.createDataFrame(rows, "x double, w double")).collect())
+
+    assert run([(0.1, 1.0), (0.5, 1.0), (0.9, 1.0)]) == [(0.1, 0.0), (0.5, 0.0), (0.9, 0.0)]  # fewer than four
+    assert run([(0.4, 50.0)]) == [(0.4, 0.0)]  # flat
+    assert run([]) == []
+    df = spark.createDataFrame([(0.5,), (0.5,), (None,)], "fused_score double")
+    assert sorted(with_anomaly_prob(df).collect(), key=str) == [(0.5, 0.0), (0.5, 0.0), (None, None)]
 
 
 def test_scaler(spark):
