@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 from collections.abc import Callable, Iterator
@@ -32,6 +33,9 @@ def free_worker(keep: Callable | None = None) -> None:
             cached.cache_clear()
         gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # glibc keeps what freed arrays have left
+        trim(0)
 
 
 def text_slices(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[pa.Array]:
