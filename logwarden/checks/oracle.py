@@ -606,6 +606,11 @@ def _decide(reviewed: str) -> str:
     )
 
 
+_CLOSED_ALERTS = """
+    SELECT alert_kind, ip, window_ts AS window_start_utc, n_requests, fused_score, relative_score, url
+    FROM real_flagged JOIN real_urls USING (ip, window_ts) CROSS JOIN origin
+    WHERE window_ts + INTERVAL 1 HOUR <= origin.t1 - INTERVAL 10 MINUTE"""
+
 SELECTS: dict[str, str] = {
     "s1_ndjson_scan": f"SELECT {_REQUEST} FROM log WHERE status <> 404",
     "s2_json_array_scan": f"SELECT {_REQUEST} FROM log",
@@ -733,6 +738,9 @@ SELECTS: dict[str, str] = {
     "r7_next_model_number": "SELECT count(DISTINCT model_id) + 1 AS next_number FROM history WHERE event = 'candidate'",
     "r8_compatibility": "SELECT model_id, 'alert_pct' AS item, (90.0 + misses % 3)::DOUBLE::VARCHAR AS saved, '95.0' AS current FROM history WHERE event = 'candidate'",
     "t5_event_time_windows": f"SELECT {WINDOW_SELECT} FROM windows, origin WHERE window_ts + INTERVAL 1 HOUR <= t1 - INTERVAL 10 MINUTE",
+    "t5_event_time_alerts": _CLOSED_ALERTS,
+    "t6_late_corrections": f"SELECT {WINDOW_SELECT} FROM windows, origin WHERE window_ts + INTERVAL 1 HOUR <= t1 - INTERVAL 10 MINUTE",
+    "t6_corrected_alerts": _CLOSED_ALERTS,
     "t7_ready_windows": "SELECT slice, n FROM complete WHERE slice > 0",
     "r1_register_candidate": "SELECT 'model_v' || (slice + 1) AS model_id, n_windows AS n_train_windows FROM slice_windows",
     "r2_approve": "SELECT 'model_v' || (slice + 1) AS model_id FROM slice_windows WHERE slice % 2 = 0",

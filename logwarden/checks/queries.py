@@ -37,6 +37,7 @@ from ..sources import access_logs as L
 from ..sources import log_table as H
 from ..sources.alert_sink import append_alerts, save_alerts
 from ..sources.appended_file import read_appended_file
+from ..streaming import closed_windows as C
 from ..streaming import scoring as X
 
 CFG = DetectorConfig(alert_pct=95.0, catastrophic_pct=99.0, train_days=0.5, retention_days=0.5)
@@ -1180,22 +1181,76 @@ def t5_event_time_windows(spark, sf):
     return _six(_ntz(closed))
 
 
+_ALERT_ROWS = ("alert_kind", "ip", "window_start_utc", "n_requests", "fused_score", "relative_score", "url")
+
+
+@query
+def t5_event_time_alerts(spark, sf):
+    """No log table is there to look URLs up in."""
+    out = staging_path(spark, "t5-out")
+    run = C.score_closed_windows(
+        X.stream_directory(spark, _lines_folder(spark, sf), None), _library(spark, sf), CFG, out,
+        staging_path(spark, "t5-ckpt"), trigger={"availableNow": True},
+    )
+    run.awaitTermination()
+    schema = (
+        "alert_kind string, ip string, window_start_utc timestamp, n_requests bigint, fused_score double, "
+        "relative_score double, url string"
+    )
+    return _ntz(spark.read.schema(schema).json(f"{out}/*/*"))
+
+
+def _late_arrivals(spark, sf) -> str:
+    """Three arrivals, newest first."""
+
+    def build():
+        folder = staging_path(spark, "t6-in")
+        newest = access_log(spark, sf).agg(F.max("ts").alias("t")).scalar()
+        lines = _raw_lines(spark, sf)
+        fresh = F.col("ts") >= newest - F.expr("INTERVAL 2 HOURS")
+        kept = F.col("ts") >= newest - F.expr("INTERVAL 4 HOURS")
+        for part in (lines.filter(fresh), lines.filter(~fresh & kept), lines.filter(~kept)):
+            # one file per arrival
+            part.select("value").coalesce(1).write.mode("append").text(folder)
+        return folder
+
+    return _once(spark, sf, "late", build)
+
+
 @query
 def t6_late_data(spark, sf):
-    """Arrivals newest first. A batch is held against the watermark of the one before
-    it, so the second arrival still counts and the third is too late."""
-    folder = staging_path(spark, "t6-in")
-    newest = access_log(spark, sf).agg(F.max("ts").alias("t")).scalar()
-    lines = _raw_lines(spark, sf)
-    fresh = F.col("ts") >= newest - F.expr("INTERVAL 2 HOURS")
-    kept = F.col("ts") >= newest - F.expr("INTERVAL 4 HOURS")
-    for part in (lines.filter(fresh), lines.filter(~fresh & kept), lines.filter(~kept)):
-        # one file per arrival
-        part.select("value").coalesce(1).write.mode("append").text(folder)
-    closed, _ = _event_time_run(spark, sf, folder, 1)
+    """A batch is held against the watermark of the one before it, so the second arrival
+    still counts and the third is too late."""
+    closed, _ = _event_time_run(spark, sf, _late_arrivals(spark, sf), 1)
     return _six(_ntz(closed))
 
 
+def _corrected(spark, sf) -> str:
+    def build():
+        root = staging_path(spark, "t6-corrected")
+        run = C.score_with_corrections(
+            X.stream_directory(spark, _late_arrivals(spark, sf), 1), _library(spark, sf), CFG, root,
+            staging_path(spark, "t6-corrected-ckpt"), trigger={"availableNow": True},
+        )
+        run.awaitTermination()
+        return root
+
+    return _once(spark, sf, "corrected", build)
+
+
+@query
+def t6_late_corrections(spark, sf):
+    """The newest version of each window holds the late rows too."""
+    windows = C.current_windows(spark, _corrected(spark, sf))
+    return _six(_ntz(windows.select(*E.WINDOW_COLUMNS)))
+
+
+@query
+def t6_corrected_alerts(spark, sf):
+    alerts = C.current_alerts(spark, _corrected(spark, sf))
+    return _ntz(alerts.select(*_ALERT_ROWS))
+
+
 @query
 def t7_ready_windows(spark, sf):
     """The first slice is already trained on; the last one is not complete."""

@@ -96,8 +96,13 @@ def requests_of(requests: DataFrame, windows: DataFrame, cfg: DetectorConfig) ->
     if span.first is not None:
         requests = time_range(requests, span.first, span.last + timedelta(minutes=cfg.window_minutes))
     keyed = requests.withColumn("window_ts", time_window(F.col("ts"), cfg)["start"])
+    return with_url_score(keyed.join(wanted, ["ip", "window_ts"], "left_semi"), cfg)
+
+
+def with_url_score(requests: DataFrame, cfg: DetectorConfig) -> DataFrame:
+    """Add ``url`` and ``url_score``."""
     return (
-        with_decoded(keyed.join(wanted, ["ip", "window_ts"], "left_semi"))
+        with_decoded(requests)
         .withColumn("url", full_url(F.col("path"), F.col("query")))
         .withColumn("url_score", url_suspicion(cfg.min_ratio_length, cfg.break_query_length))
         .drop("path_dec", "query_dec")
@@ -131,7 +136,11 @@ def worst_urls(
     The ranked form keeps only ``n`` rows per window and task before its shuffle
     (Spark's window group limit).
     """
-    urls = distinct_urls(requests_of(requests, windows, cfg))
+    return ranked_urls(distinct_urls(requests_of(requests, windows, cfg)), n)
+
+
+def ranked_urls(urls: DataFrame, n: int | None) -> DataFrame:
+    """All ``urls``, or the ``n`` worst of each window and their rank."""
     if n is None:
         return urls
     order = W.partitionBy("ip", "window_ts").orderBy(*_url_order())

@@ -166,6 +166,38 @@ def window_rollup(shapes: DataFrame, cfg: DetectorConfig) -> DataFrame:
     )
 
 
+def url_rollup(requests: DataFrame, window: Column, cfg: DetectorConfig) -> DataFrame:
+    """One row per (window, ip, path, query): how often, with how many errors, and when first.
+
+    All that windows and URL rankings need of the requests, whatever the model, and
+    rows of parts of a log add up.
+    """
+    status = F.col("status")
+    return requests.groupBy(window.alias("window"), "ip", "path", "query").agg(
+        F.count("*").alias("n"),
+        _share_flag(status.isin(*cfg.error_statuses)).alias("errors"),
+        _share_flag((status >= 400) & (status < 500)).alias("client_errors"),
+        F.min("ts").alias("ts"),
+    )
+
+
+def url_windows(urls: DataFrame, profile: PathProfile, cfg: DetectorConfig) -> DataFrame:
+    """Entity windows from rows of ``url_rollup``: each distinct URL is measured once and weighs ``n``."""
+    features = request_features(urls, profile, cfg)
+    n = F.col("n")
+    shapes = features.groupBy("window", "ip", "query_shape").agg(
+        F.sum(n).alias("n"),
+        *[F.sum(F.col(c) * n).alias(f"sum_{name}") for name, c in _MEANS.items()],
+        *[F.max(c).alias(name) for name, c in _MAXIMA.items()],
+        *[
+            F.sum(F.when(F.col(flag), n).otherwise(0)).alias(name)
+            for flag, name in (("is_break", "breaks"), ("is_rare_path", "rare_paths"), ("is_common_path", "common_paths"))
+        ],
+        F.sum("errors").alias("errors"), F.sum("client_errors").alias("client_errors"),
+    )
+    return window_rollup(shapes, cfg)
+
+
 def entity_windows(features: DataFrame, cfg: DetectorConfig) -> DataFrame:
     """(ip, window) rows with at least ``min_requests`` requests.
 

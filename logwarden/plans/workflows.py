@@ -19,7 +19,7 @@ from ..operators.drift import (
     threshold_drift,
 )
 from ..schemas import DECISION
-from ..session import staging_path
+from ..session import staged_inside, staging_path
 from ..sources.access_logs import observed_counts, read_access_logs
 from ..sources.alert_sink import save_alerts
 from ..sources.log_table import (
@@ -75,9 +75,10 @@ class Library:
 def bootstrap(requests: DataFrame, library: Library, cfg: DetectorConfig) -> Model:
     """Train on the given requests and activate the model at once."""
     bounds = time_bounds(requests).first()
-    model = train_and_register(
-        requests, bounds.first_ts, bounds.last_ts, library.store, library.registry, cfg
-    )
+    with staged_inside(library.spark):  # all of a model is in the store
+        model = train_and_register(
+            requests, bounds.first_ts, bounds.last_ts, library.store, library.registry, cfg
+        )
     library.registry.approve(model.model_id)
     return model
 
@@ -230,14 +231,15 @@ def train_and_review(
 ) -> dict:
     """Train on ``[start, end)``, register, and apply the promotion policy."""
     registry = library.registry
-    try:
-        candidate = train_and_register(
-            time_range(log, start, end), start, end, library.store, registry, cfg
-        )
-    except TooFewWindows:
-        registry.skip(registry.next_model_id(), train_window_start=start, train_window_end=end)
-        return {"model_id": None, "decision": "skipped", "drift_score": None}
-    outcome = review_candidate(candidate, library, cfg, mode, decisions)
+    with staged_inside(library.spark):
+        try:
+            candidate = train_and_register(
+                time_range(log, start, end), start, end, library.store, registry, cfg
+            )
+        except TooFewWindows:
+            registry.skip(registry.next_model_id(), train_window_start=start, train_window_end=end)
+            return {"model_id": None, "decision": "skipped", "drift_score": None}
+        outcome = review_candidate(candidate, library, cfg, mode, decisions)
     return {"model_id": candidate.model_id, **outcome}
 
 
@@ -288,8 +290,9 @@ def backtest(
         requests = time_range(log, row.slice_start, row.slice_end)
         model = library.active()
         if model is not None:
-            alerts = score_batch(requests, model, cfg, max_urls, **filters)
-            alerts.write.mode("overwrite").parquet(f"{out}/slice={row.slice}")
+            with staged_inside(spark):
+                alerts = score_batch(requests, model, cfg, max_urls, **filters)
+                alerts.write.mode("overwrite").parquet(f"{out}/slice={row.slice}")
             written = True
         if lag == 1:
             target = row.slice

@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 STAGING_KEY = "spark.checkpoint.dir"
 _local_staging: list[str] = []
-_scopes: list[list[str]] = []
+#: Paths staged in the scope of this thread or task; None outside of any.
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
 def build_session(app_name: str = "logwarden", master: str | None = None, **conf) -> SparkSession:
@@ -47,30 +49,38 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, outlives_scope: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
     planner the table's true size: a later join is broadcast only when the
-    files really are below ``spark.sql.autoBroadcastJoinThreshold``.
+    files really are below ``spark.sql.autoBroadcastJoinThreshold``. A table that
+    ``outlives_scope`` is not removed by ``staged_inside``.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    if _scopes:
-        _scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None and not outlives_scope:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staged_inside(spark: SparkSession) -> Iterator[None]:
-    """Tables staged in the block are removed at its end, so results must be written by then."""
-    _scopes.append([])
+    """Tables staged in the block are removed at its end, so results must be written by then.
+
+    Only this thread's own tables are: jobs that run beside it in other threads have scopes
+    of their own, and a scope inside another removes what was staged in it.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
     try:
         yield
     finally:
+        _scope.reset(token)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _scopes.pop():
+        for path in paths:
             place = hadoop.Path(path)
             place.getFileSystem(conf).delete(place, True)
