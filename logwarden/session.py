@@ -66,6 +66,25 @@ def stage(df: DataFrame, name: str, outlives_scope: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """As ``stage``, in as many buckets of ``by`` as the session has shuffle partitions.
+
+    Grouping or joining the table by ``by`` moves only the other side, so wide rows are
+    stored once and not shuffled.
+    """
+    spark = df.sparkSession
+    path, scope = staging_path(spark, name), _scope.get()
+    if scope is not None:
+        scope.append(path)
+    table = f"staged_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(table)
+    rows = spark.table(table)
+    rows.schema  # resolved from here on: the catalog's entry is not needed, and the files stay
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 @contextmanager
 def staged_inside(spark: SparkSession) -> Iterator[None]:
     """Tables staged in the block are removed at its end, so results must be written by then.

@@ -3,7 +3,7 @@ import threading
 
 import pytest
 
-from logwarden.session import stage, staged_inside, staging_root
+from logwarden.session import stage, stage_bucketed, staged_inside, staging_root
 
 
 def names(spark):
@@ -44,3 +44,20 @@ def test_nested_scopes_and_errors(spark):
             assert mine.count() == 4
             raise ValueError
     assert names(spark) == before
+
+
+def test_bucketed_tables_are_not_shuffled(spark):
+    rows = stage_bucketed(spark.range(1000).selectExpr("id % 50 AS key", "id AS value"), "bucketed", "key")
+    other = spark.range(50).selectExpr("id AS key", "id * 2 AS twice")
+
+    def both(left, right):
+        return left.groupby("key", as_index=False)["value"].sum().merge(right)
+
+    out = rows.groupBy("key").cogroup(other.groupBy("key")).applyInPandas(both, "key long, value long, twice long")
+    assert out.count() == 50 and out.filter("value <> 20 * key + 9500").count() == 0
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert spark.sql("SHOW TABLES LIKE 'staged*'").count() == 0
+    before = names(spark)
+    with staged_inside(spark):
+        assert stage_bucketed(spark.range(5).toDF("key"), "gone", "key").count() == 5
+    assert names(spark) == before
