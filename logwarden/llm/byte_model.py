@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, stage_bucketed
 from .words import free_worker, mixed
 
 ORDER = 5
@@ -329,10 +329,11 @@ def score(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     fold = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(2)).cast("int")
-    blocks = stage(_packed(docs.select(
+    # in buckets: the answers come to the texts
+    blocks = stage_bucketed(_packed(docs.select(
         F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("trusted"), fold,
         F.col("text").cast("binary"),
-    )), "quality-blocks")
+    )), "quality-blocks", "block")
     shape = blocks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.count("*").alias("n")).first()
     shards, parts = max(1, -(-shape.size // SHARD_BYTES)), max(1, -(-shape.n // ASKING_BLOCKS))
 

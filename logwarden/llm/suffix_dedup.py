@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage_bucketed
 from .words import mixed
 
 _LAST = 2**63 - 1  # the place of null ids: behind all others
@@ -85,7 +85,8 @@ def remove_repeats(docs: DataFrame, cfg: SuffixDedupConfig | None = None, texts:
     play no part. A long text is worked on in slices; the whole row is in memory only as bytes.
     """
     cfg = cfg or SuffixDedupConfig()
-    blocks = stage(_packed(docs, cfg), "suffix-blocks")
+    # in buckets: what is found comes to the texts, which are not shuffled
+    blocks = stage_bucketed(_packed(docs, cfg), "suffix-blocks", "block")
     size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     per_anchor = max(1.0, (cfg.length - cfg.gram + 2) / 2)
     buckets = max(1, round(size / per_anchor / cfg.bucket_anchors))
