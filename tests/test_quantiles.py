@@ -3,6 +3,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from logwarden.functions import quantiles
 from logwarden.functions.quantiles import percentile_arrays, percentile_values, percentiles
 from logwarden.functions.ranking import rank_within
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ def samples():
         "constant": np.full(50, 7.25),
         "single": np.array([3.0]),
         "heavy": rng.pareto(0.5, 800),
+        "magnitudes": np.r_[rng.normal(size=200) * 10.0 ** rng.integers(-300, 300, 200), 1.7e308, -1.7e308, 0.0, 5e-324],
+        "near": 1e15 + rng.integers(0, 40, 300) / 8,
     }
 
 
@@ -27,12 +30,30 @@ def long(spark):
     return spark.createDataFrame(rows, "name string, x double").repartition(7)
 
 
-@pytest.mark.parametrize("limit", [100_000, 10])
-def test_equals_numpy(long, limit):
-    got = {(r.name, r.p): r.value for r in percentiles(long, PROBS, limit).collect()}
+@pytest.mark.parametrize("bins", [4096, 16])
+def test_equals_numpy(long, bins):
+    got = {(r.name, r.p): r.value for r in percentiles(long, PROBS, bins).collect()}
     for name, xs in samples().items():
+        xs = np.sort(xs)
         for p in PROBS:
-            assert got[name, p] == pytest.approx(np.percentile(xs, p * 100), rel=1e-12, abs=1e-12)
+            rank = p * (len(xs) - 1)
+            low, high = xs[int(rank)], xs[min(int(rank) + 1, len(xs) - 1)]
+            assert got[name, p] == pytest.approx(low + (high - low) * (rank - int(rank)), rel=1e-12)
+
+
+def test_passes_do_not_depend_on_the_number_of_values(spark, monkeypatch):
+    passes = []
+    plain = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a: passes.append(1) or plain(*a))
+    used = []
+    for n in (3_000, 300_000):
+        passes.clear()
+        values = spark.range(n).select(F.lit("v").alias("name"), (F.rand(seed=1) * 50).alias("x"))
+        got = percentiles(values, [0.5, 0.999]).count()
+        used.append(len(passes))
+    assert got == 2 and max(used) <= 3
+    odd = spark.createDataFrame([("v", float("nan")), ("v", None), ("v", float("inf")), ("v", 1.0)], "name string, x double")
+    assert [r.value for r in percentiles(odd, [0.0]).collect()] == [1.0]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
