@@ -23,7 +23,7 @@ SEQUENCE_TOKENS = 2048
 #: Pieces that one task packs.
 SHARD_PIECES = 8192
 #: Distinct words whose ids a Python worker remembers; beyond, it forgets all and goes on.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 1_200_000
 #: Bytes of text that are tokenized at a time.
 BATCH_BYTES = 4_000_000
 
@@ -230,12 +230,16 @@ class _Bins:
         ``most_given`` pieces or fewer."""
         self.tries -= 1
         reach = amount
+        # a bin that reaches further is emptier after it has given back than the donor: squared fill would not grow
+        limit = self.most + amount - self.fill[donor]
         while fits := self.mask >> reach:
             reach += (fits & -fits).bit_length() - 1
+            if reach >= limit:
+                return None
             for back, found in self.reach[reach].items():
                 if back < amount:
                     for b, given in found:
-                        if b != donor and len(given) <= most_given and self.fill[b] + amount - back > self.fill[donor]:
+                        if b != donor and len(given) <= most_given:
                             return b, given
             reach += 1
         return None
