@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .license_texts import whole_texts
 
 #: Licence tables up to this many rows are broadcast.
@@ -49,17 +52,22 @@ SPELLINGS = (
     ("favour", "favor"),
     ("behaviour", "behavior"),
 )
-#: Lines that ``text_digest`` leaves out.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n©]*(copyright|©|\(c\))[^\n]*$"
-# Lines of the form of a notice: the sign, or the word or (c) with a year or the sign behind it.
-_NOTICE = (
-    r"[^\p{L}\p{N}\n©(]*(?:©|copyright[\s:,]*(?:©|\(c\)|(?:19|20)\d\d)"
-    r"|\(c\)[ \t]*(?:©|copyright|(?:19|20)\d\d)|all rights reserved)[^\n]{0,200}(?:\n|\z)"
-)
-#: A notice ahead of the body: at most four short other lines that hold words stand before each.
-LEADING_NOTICE = (
-    rf"\G((?:[^\p{{L}}\p{{N}}\n©(]*\n)*+(?:(?!{_NOTICE})[^\n]{{0,60}}\n(?:[^\p{{L}}\p{{N}}\n©(]*\n)*+){{0,4}}){_NOTICE}"
+# Forms of a notice at the start of a line, and what makes a line prose instead.
+#: A sign, "copyright" or "(c)" with a sign or a year, "Copyright" with a name, "all rights reserved".
+NOTICE = (
+    r"^[^\p{L}\p{N}©(]*(?:©|\([cC]\)\s*(?:©|(?i:copyright)|(?:19|20)\d\d)"
+    r"|(?i:copyright)[\s:,]*(?:©|\([cC]\)|(?:19|20)\d\d)|(?i:all rights reserved)"
+    r"|[Cc]opyright\s+(?:[Bb]y\s+)?\p{Lu})"
 )
+#: Dots that end no sentence.
+ABBREVIATIONS = r"(?i)\b(?:inc|ltd|corp|co|llc|jr|sr|dr|prof|st|al)\.|all rights reserved\.?"
+#: One sentence after another.
+PROSE = r"\p{Ll}{2}[.!?]\s+\p{L}"
+#: A line of more characters that is no notice is part of a licence's body.
+HEADING_CHARS = 60
+NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
+#: Letters at the end of a text by which texts that cannot be known are passed over.
+TAIL_LETTERS, TAIL_CHARS = 12, 200
 
 
 def _spelled(words: Column) -> Column:
@@ -68,23 +76,49 @@ def _spelled(words: Column) -> Column:
     return F.trim(words)
 
 
+def is_notice(line: Column) -> Column:
+    return line.rlike(NOTICE) & ~F.regexp_replace(line, ABBREVIATIONS, "").rlike(PROSE)
+
+
 def canonical(text: Column) -> Column:
-    """Small letters without copyright lines and punctuation, in equal spelling; a-z and 0-9 only."""
-    return _spelled(F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), "[^a-z0-9]+", " "))
+    """Words in small letters and equal spelling, without punctuation and without the notices ahead of the body.
+
+    The body begins with the first line of more than ``HEADING_CHARS`` that is no notice or, without one, with
+    the last line that holds words and is none. Notices ahead of it are left out, however long.
+    """
+    def start(lines: Column, notices: Column) -> Column:
+        body = F.transform(lines, lambda line, i: (F.length(line) > HEADING_CHARS) & ~F.get(notices, i))
+        words = F.reverse(F.transform(lines, lambda line, i: line.rlike(r"[\p{L}\p{N}]") & ~F.get(notices, i)))
+        last = F.size(lines) + 1 - F.nullif(F.array_position(words, True), F.lit(0))
+        return F.coalesce(F.nullif(F.array_position(body, True), F.lit(0)), last, F.size(lines) + 1)
+
+    def kept(lines: Column, notices: Column, start: Column) -> Column:
+        return F.array_join(F.filter(lines, lambda line, i: (i + 1 >= start) | ~F.get(notices, i)), "\n")
+
+    def of_lines(lines: Column) -> Column:
+        return _let(F.transform(lines, is_notice), lambda notices: _let(
+            start(lines, notices), lambda at: kept(lines, notices, at)
+        ))
+
+    body = _let(F.split(text, "\n"), of_lines)
+    return _spelled(F.regexp_replace(F.lower(body), NO_WORD, " "))
 
 
-def digest(text: Column) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def license_digest(text: Column) -> Column:
     """SHA-256 (hex) of the canonical text; null if nothing is left of it."""
     found = canonical(text)
     return F.when(found != "", F.sha2(found, 256))
 
 
-def license_digest(text: Column) -> Column:
-    """What texts and lines are compared by: as ``digest``, but letters of every script stay, and all
-    lines but the notices ahead of the body."""
-    body = F.regexp_replace(F.lower(text), LEADING_NOTICE, "$1")
-    found = _spelled(F.regexp_replace(body, r"[^\p{L}\p{M}\p{N}]+", " "))
-    return F.when(found != "", F.sha2(found, 256))
+def _tail(text: Column) -> Column:
+    """The last letters of a text, the same for all its spellings; notices stand ahead and are not in them."""
+    letters = F.regexp_replace(F.lower(F.right(text, F.lit(TAIL_CHARS))), r"[^\p{L}\p{M}\p{N}]+", "")
+    return F.right(F.translate(letters, "czu", "ss"), F.lit(TAIL_LETTERS))
 
 
 def known_licenses() -> list[tuple[str, str]]:
@@ -97,39 +131,61 @@ def license_table(spark: SparkSession, licenses=None) -> DataFrame:
     return spark.createDataFrame([*licenses], "license string, text string")
 
 
+def _possible(rows: DataFrame, text: str, known: DataFrame) -> DataFrame:
+    """The rows whose text ends like a known one; the others cannot have a known digest."""
+    tails = known.select(_tail(F.col("_canonical")).alias("_known_tail")).distinct()
+    if not tails.filter(F.length("_known_tail") < TAIL_LETTERS).isEmpty():
+        return rows  # a known text of few letters: notices may be in the tail
+    tails = F.broadcast(tails) if tails.count() <= BROADCAST_LICENSES else tails
+    tail = _tail(F.col(text))
+    # few letters among many signs at the end of a long text: the tail does not tell
+    unclear = (F.length(tail) < TAIL_LETTERS) & (F.length(text) > TAIL_CHARS)
+    keyed = rows.withColumn("_tail", tail)
+    sure = keyed.filter(~unclear).join(tails, F.col("_tail") == F.col("_known_tail"), "left_semi")
+    return sure.unionByName(keyed.filter(unclear)).drop("_tail")
+
+
 def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): its digest and the known licences in it.
+    """One row per row of ``docs`` (doc_id, text): the known licences in it.
 
     ``license`` is the licence that the whole text is, ``line_licenses`` those that
     single lines are (distinct, in order, joined by commas), ``n_license_lines`` the number
-    of such lines. Both are found by ``license_digest``; ``text_digest`` is of the letters a-z and
-    digits only. ``licenses`` has license and text; texts with equal digests count
-    for the license first in order. Null, empty and wordless texts have no licence and, as
-    those without a-z and digits, a null digest. Rows equal in doc_id and text have equal results. An empty table gives none.
+    of such lines. Both are found by ``license_digest``; digests are only computed of texts and
+    lines whose last letters are those of a known text. ``licenses`` has license and text; texts
+    with equal digests count for the license first in order. Null, empty and wordless texts have
+    no licence. Rows equal in doc_id and text have equal results. An empty table gives none.
     """
     known = licenses if licenses is not None else license_table(docs.sparkSession)
-    known = known.select(license_digest(F.col("text")).alias("_digest"), "license").filter(
-        "_digest IS NOT NULL AND license IS NOT NULL"
-    ).groupBy("_digest").agg(F.min("license").alias("_license"))
+    known = known.select(canonical(F.col("text")).alias("_canonical"), "license").filter(
+        "_canonical <> '' AND license IS NOT NULL"
+    )
+    known = stage(known.select(
+        "_canonical", F.sha2("_canonical", 256).alias("_digest"), "license"
+    ).groupBy("_digest").agg(F.min("license").alias("_license"), F.first("_canonical").alias("_canonical")), "licenses")
+    digests = known.select("_digest", "_license")
     if known.count() <= BROADCAST_LICENSES:
-        known = F.broadcast(known)
-    whole = docs.select(
-        "doc_id", digest(F.col("text")).alias("text_digest"),
-        license_digest(F.col("text")).alias("_whole"), F.md5("text").alias("_text"),
+        digests = F.broadcast(digests)
+    rows = docs.select("doc_id", "text")
+    whole = _possible(rows, "text", known).select(
+        F.col("doc_id").alias("_doc_id"), F.md5("text").alias("_of"), license_digest(F.col("text")).alias("_whole")
+    ).join(digests, F.col("_whole") == F.col("_digest")).select(
+        "_doc_id", "_of", F.col("_license").alias("_whole_license"),
+        F.lit(None).cast("string").alias("_line_license"), F.lit(None).cast("int").alias("_place"),
     )
-    whole = whole.join(known, F.col("_whole") == F.col("_digest"), "left")
-    lines = docs.select(
-        "doc_id", F.md5("text").alias("_text"), F.posexplode(F.split("text", "\n")).alias("_place", "_line")
+    lines = rows.select("doc_id", F.md5("text").alias("_of"), F.posexplode(F.split("text", "\n")).alias("_place", "_line"))
+    lines = _possible(lines, "_line", known).select(
+        F.col("doc_id").alias("_doc_id"), "_of", "_place", license_digest(F.col("_line")).alias("_line_digest")
+    ).join(digests, F.col("_line_digest") == F.col("_digest")).select(
+        "_doc_id", "_of", F.lit(None).cast("string").alias("_whole_license"),
+        F.col("_license").alias("_line_license"), "_place",
     )
-    lines = lines.select("doc_id", "_text", "_place", license_digest(F.col("_line")).alias("_line_digest"))
-    hits = lines.join(known, F.col("_line_digest") == F.col("_digest")).groupBy(
-        F.col("doc_id").alias("_doc_id"), F.col("_text").alias("_of")
-    ).agg(
-        F.array_join(F.array_sort(F.collect_set("_license")), ",").alias("line_licenses"),
+    hits = whole.unionByName(lines).groupBy("_doc_id", "_of").agg(
+        F.min("_whole_license").alias("license"),
+        F.array_join(F.array_sort(F.collect_set("_line_license")), ",").alias("line_licenses"),
         F.countDistinct("_place").alias("n_license_lines"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text") == F.col("_of"))
-    return whole.join(hits, same, "left").select(
-        "doc_id", "text_digest", F.col("_license").alias("license"), "line_licenses",
+    return rows.select("doc_id", F.md5("text").alias("_text")).join(hits, same, "left").select(
+        "doc_id", "license", F.nullif("line_licenses", F.lit("")).alias("line_licenses"),
         F.coalesce("n_license_lines", F.lit(0).cast("long")).alias("n_license_lines"),
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import regex
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from . import (
@@ -157,29 +158,67 @@ counted AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM counted
 """
 
+def _known_digest(text: str) -> str | None:
+    """The digest of a known licence, in plain Python."""
+    lines = text.split("\n")
+
+    def notice(line: str) -> bool:
+        return bool(regex.search(licenses.NOTICE, line)) and not regex.search(
+            licenses.PROSE, regex.sub(licenses.ABBREVIATIONS, "", line)
+        )
+
+    notices = [notice(line) for line in lines]
+    long = [i for i, line in enumerate(lines) if len(line) > licenses.HEADING_CHARS and not notices[i]]
+    wordy = [i for i, line in enumerate(lines) if regex.search(r"[\p{L}\p{N}]", line) and not notices[i]]
+    start = long[0] if long else wordy[-1] if wordy else len(lines)
+    kept = "\n".join(line for i, line in enumerate(lines) if i >= start or not notices[i])
+    words = regex.sub(licenses.NO_WORD, " ", kept.lower())
+    for spelling, used in licenses.SPELLINGS:
+        words = words.replace(spelling, used)
+    return hashlib.sha256(words.strip().encode()).hexdigest() if words.strip() else None
+
+
 def _license_sql() -> str:
-    def canonical(text: str) -> str:
-        sql = f"lower({text})"
-        sql = f"regexp_replace({sql}, '{licenses.COPYRIGHT_LINE}', '', 'g')"
-        sql = f"regexp_replace({sql}, '[^a-z0-9]+', ' ', 'g')"
-        for spelling, used in licenses.SPELLINGS:
-            sql = f"replace({sql}, '{spelling}', '{used}')"
-        return f"trim({sql})"
-
-    rows = ", ".join(f"('{name}', '{text}')" for name, text in licenses.LICENSES)
+    """The same rule over DuckDB's lists; known texts come as digests of all their variants."""
+    known: dict[str, str] = {}
+    for name, text in sorted(licenses.known_licenses()):
+        known.setdefault(_known_digest(text), name)
+    rows = ", ".join(f"('{name}', '{digest}')" for digest, name in known.items() if digest)
+
+    def notice(line: str) -> str:
+        return (
+            f"(regexp_matches({line}, '{licenses.NOTICE}') AND NOT regexp_matches("
+            f"regexp_replace({line}, '{licenses.ABBREVIATIONS}', '', 'g'), '{licenses.PROSE}'))"
+        )
+
+    digest = "array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i: i >= start OR NOT notices[i]), lambda i: lines[i]), chr(10))"
+    digest = f"regexp_replace(lower({digest}), '{licenses.NO_WORD}', ' ', 'g')"
+    for spelling, used in licenses.SPELLINGS:
+        digest = f"replace({digest}, '{spelling}', '{used}')"
     return f"""
-WITH texts(license, text) AS (VALUES {rows}),
-known AS (SELECT sha256({canonical('text')}) AS digest, min(license) AS license FROM texts GROUP BY 1),
-whole AS (SELECT doc_id, text, {canonical('text')} AS canonical FROM documents),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+WITH known(license, digest) AS (VALUES {rows}),
+texts AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(text, chr(10)) AS lines, -1 AS place FROM documents),
+units AS (
+  SELECT row, lines, place FROM texts
+  UNION ALL
+  SELECT row, [unnest(lines)] AS lines, unnest(range(0, len(lines))) AS place FROM texts),
+marked AS (
+  SELECT *, list_transform(lines, lambda line: {notice('line')}) AS notices FROM units),
+started AS (
+  SELECT *, coalesce(
+    list_filter(range(1, len(lines) + 1), lambda i: length(lines[i]) > {licenses.HEADING_CHARS} AND NOT notices[i])[1],
+    list_filter(range(1, len(lines) + 1),
+      lambda i: regexp_matches(lines[i], '[\\p{{L}}\\p{{N}}]') AND NOT notices[i])[-1],
+    len(lines) + 1) AS start FROM marked),
+digests AS (SELECT row, place, sha256(trim({digest})) AS digest FROM started),
 hits AS (
-  SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses,
-    count(*) AS n_license_lines
-  FROM lines JOIN known ON sha256({canonical('line')}) = digest GROUP BY doc_id)
-SELECT whole.doc_id, CASE WHEN canonical <> '' THEN sha256(canonical) END AS text_digest,
-  known.license, line_licenses, coalesce(n_license_lines, 0) AS n_license_lines
-FROM whole LEFT JOIN hits USING (doc_id)
-LEFT JOIN known ON canonical <> '' AND known.digest = sha256(canonical)
+  SELECT row, max(license) FILTER (place = -1) AS license,
+    string_agg(DISTINCT license, ',' ORDER BY license) FILTER (place >= 0) AS line_licenses,
+    count(*) FILTER (place >= 0) AS n_license_lines
+  FROM digests JOIN known USING (digest) GROUP BY row)
+SELECT doc_id, license, line_licenses, coalesce(n_license_lines, 0) AS n_license_lines
+FROM texts LEFT JOIN hits USING (row)
 """
 
 

@@ -1,6 +1,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from compare import compare, duck
 from logwarden.llm import licenses as lc
@@ -81,3 +82,30 @@ def test_notices_and_scripts(spark, documents):
     known = lc.license_table(spark, [*lc.known_licenses(), ("ZH", "\u8bb8\u53ef \u8bc1"), ("LIST", "Terms (c) the third item end")])
     got = lc.scan_licenses(documents([(i, t) for i, (t, _) in enumerate(rows)]), known).collect()
     assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(rows)}
+
+
+def test_notices_of_any_length_and_number(spark, documents):
+    body = MIT.split("\n", 1)[1]
+    long = "Copyright (c) 2020 " + ", ".join(f"Person {i} of a Company" for i in range(40))
+    rows = [
+        (long + "\n\n" + body, "MIT"), ("Copyright A. Person\n\n" + body, "MIT"), ("Copyright by The Firm Ltd. and others\n" + body, "MIT"),
+        ("MIT License\n\n" + "\n".join(f"Copyright (c) {y} Some One" for y in range(1990, 2020)) + "\n\n" + body, "MIT"),
+        ("The MIT License (MIT)\n\n\n\n\n\n\n\nCopyright 2020 Foo Inc. All rights reserved.\n" + body, "MIT"),
+        ("Copyright law is old. It has a story.\nReleased under the MIT License.", None),
+        ("Released under the MIT License.\nCopyright 2020 A", None), ("Copyright 2020 A\n\nReleased under the MIT License.", "MIT"),
+        ("Released under the MIT License." + " ." * 300, "MIT"), ("\n".join(["x" * 70, "Copyright 2020 A", "end"]), None),
+        (body + "\nCopyright 2020 A", None), ("Copyright 2020 A", None),
+    ]
+    got = lc.scan_licenses(documents([(i, t) for i, (t, _) in enumerate(rows)])).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(rows)}
+    few = lc.license_table(spark, [("A", "a b"), ("MIT", body)])  # a text of few letters
+    got = lc.scan_licenses(documents([(1, "© X\nA. B!"), (2, body), (3, "b a")]), few).collect()
+    assert {r.doc_id: r.license for r in got} == {1: "A", 2: "MIT", 3: None}
+
+
+def test_sql_knows_the_same_digests(spark):
+    from logwarden.llm.queries import _known_digest
+
+    known = lc.known_licenses()
+    rows = spark.createDataFrame([(t,) for _, t in known], "text string").select(lc.license_digest(F.col("text")).alias("d"))
+    assert [r.d for r in rows.collect()] == [_known_digest(t) for _, t in known]
