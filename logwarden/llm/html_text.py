@@ -90,6 +90,8 @@ DROPPED_NAMES = frozenset(
     "footer header masthead comment comments reply replies respond disqus share sharing social "
     "related recommended widget toolbar pagination pager login search complementary contentinfo".split()
 )
+#: Of these, those that tell an article element to be a reader's comment.
+COMMENT_NAMES = frozenset("comment comments reply replies respond".split())
 # Parts of a name beside a listed word that leave it what it is.
 NAME_PARTS = frozenset(
     "list lists area areas box container wrapper wrap section block inner outer content bar panel links link item "
@@ -114,11 +116,13 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass(frozen=True)
 class BlockRules:
-    """A block shorter than ``short`` characters is undecided at first."""
+    """A block shorter than ``short`` characters is undecided at first. Article elements decide if the prose
+    outside them is at most ``teaser`` times as long as their text."""
 
     short: int = 70
     stop_density: float = 0.3
     link_density: float = 0.5
+    teaser: float = 3.0
 
 
 @dataclass
@@ -211,6 +215,8 @@ def blocks_of(page: str) -> list[Block]:
             drops = drops or _hides(attributes)
             if tag not in ARTICLE_ELEMENTS:
                 named = max(named, _names(attributes, article))
+            elif _names(attributes, article, COMMENT_NAMES) == 2:
+                named = max(named, 2)  # a reader's comment, unless nothing else is there
         stack.append((tag, dropped or drops, article, named))
         open_count[tag] += 1
         in_links += tag == "a"
@@ -230,15 +236,16 @@ def _hides(attributes: str) -> bool:
     return False
 
 
-def _names(attributes: str, in_article: bool) -> int:
+def _names(attributes: str, in_article: bool, words: frozenset[str] | None = None) -> int:
     """2 if a class, id or role is a listed word (beside ``NAME_PARTS``), 1 if it ends in one, else 0."""
+    words = DROPPED_NAMES if words is None else words
     found = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         if name.lower() not in ("class", "id", "role"):
             continue
         for token in "".join(values).split():
             parts = [w.lower() for w in _NAME.findall(token)]
-            listed = [w in DROPPED_NAMES and not (w == "header" and in_article) for w in parts]
+            listed = [w in words and not (w == "header" and in_article) for w in parts]
             if not any(listed) or parts[0] in STATES:
                 continue
             if all(is_listed or w in NAME_PARTS for w, is_listed in zip(parts, listed, strict=True)):
@@ -299,9 +306,16 @@ def _other_script(text: str) -> bool:
 
 
 def _label(blocks: list[Block], rules: BlockRules, dropped: list[bool], is_prose: Callable[[str], bool]) -> None:
-    has_article = any(b.in_article and not d for b, d in zip(blocks, dropped, strict=True))
-    for b, is_dropped in zip(blocks, dropped, strict=True):
-        if is_dropped or (has_article and not b.in_article) or b.link_chars > rules.link_density * len(b.text):
+    linked = _linked(blocks, rules)
+    open_ = [b for b, d, of_links in zip(blocks, dropped, linked, strict=True) if not d and not of_links]
+    inside = sum(len(b.text) for b in open_ if b.in_article)
+    outside = sum(len(b.text) for b in open_ if not b.in_article and len(b.text) >= rules.short and is_prose(b.text))
+    # a teaser in an article element beside the story is not the article
+    has_article = any(b.in_article and not d for b, d in zip(blocks, dropped, strict=True)) and (
+        rules.teaser * inside >= outside
+    )
+    for b, is_dropped, of_links in zip(blocks, dropped, linked, strict=True):
+        if is_dropped or (has_article and not b.in_article) or of_links:
             b.good = False
         elif len(b.text) >= rules.short:
             b.good = b.in_article or is_prose(b.text)
@@ -328,16 +342,32 @@ def _label(blocks: list[Block], rules: BlockRules, dropped: list[bool], is_prose
             b.good = labels[-1] if b.heading else any(labels)
 
 
+def _linked(blocks: list[Block], rules: BlockRules) -> list[bool]:
+    """Blocks of links. Inside an article neither a linked sentence is one nor an item of a list that is not all links."""
+    out = [b.link_chars > rules.link_density * len(b.text) for b in blocks]
+    at = 0
+    while at < len(blocks):
+        upto = at + 1
+        if blocks[at].in_article and blocks[at].in_list:
+            while upto < len(blocks) and blocks[upto].in_article and blocks[upto].in_list:
+                upto += 1
+            out[at:upto] = [all(out[at:upto])] * (upto - at)
+        elif blocks[at].in_article and _SENTENCE.search(blocks[at].text):
+            out[at] = False
+        at = upto
+    return out
+
+
 def _nearest(blocks: list[Block], labels: list[bool | None], dropped: list[bool], order) -> list[int | None]:
     """For each block the decided one met last in ``order``, of those as much in an article.
 
-    What is dropped by name or element says nothing about its neighbours inside an article.
+    Inside an article, what is dropped and what is a block of links says nothing about its neighbours.
     """
     out: list[int | None] = [None] * len(blocks)
     met: dict[bool, int] = {}
     for i in order:
         out[i] = met.get(blocks[i].in_article)
-        if labels[i] is not None and not (blocks[i].in_article and dropped[i]):
+        if labels[i] is not None and not (blocks[i].in_article and (dropped[i] or labels[i] is False)):
             met[blocks[i].in_article] = i
     return out
 

@@ -36,7 +36,7 @@ LONG_2 = "It was then that the people in the town came out to see what had been
     (f"<div><a href=x>{LONG}</a></div><p>{LONG_2}</p>", LONG_2),
     (f"<nav>{LONG}</nav><header>{LONG}</header><main><h2>Title</h2><p>{LONG_2}</p></main><footer>{LONG}</footer>",
      f"Title\n{LONG_2}"),
-    (f"<article><p>Short.</p></article><p>{LONG}</p>", "Short."),
+    (f"<article><p>Short.</p></article><p>{LONG}</p>", f"Short.\n{LONG}"),
     (f"<article><p>{LONG}</p><div class='comment-list'><p>{LONG_2}</p></div><p>End.</p></article>", f"{LONG}\nEnd."),
     (f"<div id=cookieNotice>{LONG}</div><p>{LONG_2}</p><aside>{LONG}</aside>", LONG_2),
     (f"<article><script>var a = '<p>x</p>';</script><style>p{{}}</style><p>{LONG}<!-- {LONG_2} --></p></article>", LONG),
@@ -115,3 +115,23 @@ JUNK = "Prodotto Offerta Prezzo Sconto " * 5
 ])
 def test_more_languages_and_short_pages(page, text):
     assert ht.main_text(page) == text
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    # a teaser in an article element beside the story
+    (f"<div><p>{LONG} {LONG_2} {LONG} {LONG_2}</p></div><article>short teaser</article>",
+     f"{LONG} {LONG_2} {LONG} {LONG_2}\nshort teaser"),
+    (f"<div><p>{LONG}</p></div><article><p>{LONG_2}</p></article>", LONG_2),
+    # links inside an article
+    (f"<article><p>{LONG}</p><p><a href=x>{LONG_2}</a></p></article>", f"{LONG}\n{LONG_2}"),
+    (f"<article><p>{LONG}</p><ul><li><a href=x>One thing</a></li><li>Another thing</li></ul></article>",
+     f"{LONG}\nOne thing\nAnother thing"),
+    (f"<article><p>{LONG}</p><ul><li><a href=x>One</a></li><li><a href=y>Two</a></li></ul><p>End.</p></article>",
+     f"{LONG}\nEnd."),
+    (f"<article><p>{LONG}</p><p><a href=x>Share</a> <a href=y>Print</a></p></article>", LONG),
+    # a reader's comment is an article element of its own
+    (f"<article><p>{LONG}</p></article><article class='comment'><p>{LONG_2}</p></article>", LONG),
+    (f"<article class='comment'><p>{LONG_2}</p></article>", LONG_2),
+])
+def test_teasers_links_and_comments(page, text):
+    assert ht.main_text(page) == text
