@@ -613,6 +613,9 @@ _CLOSED_ALERTS = """
 
 SELECTS: dict[str, str] = {
     "s1_ndjson_scan": f"SELECT {_REQUEST} FROM log WHERE status <> 404",
+    "s1_whole_lines": """
+        SELECT event_id, event_id % 5 NOT IN (1, 3) AS good,
+               CASE WHEN event_id % 5 NOT IN (1, 3) THEN status END AS status FROM log""",
     "s2_json_array_scan": f"SELECT {_REQUEST} FROM log",
     "s3_layout_detection": """
         SELECT CASE WHEN chunk % 2 = 0 THEN 'array' ELSE 'ndjson' END AS layout, count(*) AS files

@@ -295,6 +295,22 @@ def s5_bad_record_split(spark, sf):
     return kinds.groupBy("kind").agg(F.count("*").alias("n"))
 
 
+@query
+def s1_whole_lines(spark, sf):
+    """Lines with text or a second object behind the first are bad; 404.0 is 404."""
+    kind = F.col("event_id") % 5
+    value = (
+        F.when(kind == 1, F.concat("value", F.lit(" behind")))
+        .when(kind == 2, F.regexp_replace("value", r'"status_code":(\d+)', '"status_code":$1.0'))
+        .when(kind == 3, F.concat("value", F.lit(" "), "value"))
+        .otherwise(F.col("value"))
+    )
+    lines = _raw_lines(spark, sf).select("event_id", value.alias("value"))
+    return L.flatten(L.parse_lines(lines)).select(
+        "event_id", L.is_good().alias("good"), F.when(L.is_good(), F.col("status")).alias("status")
+    )
+
+
 def _drain(stream: DataFrame, checkpoint: str, out: str) -> None:
     """Run what has arrived so far, one folder per micro-batch."""
 

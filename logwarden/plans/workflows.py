@@ -19,7 +19,7 @@ from ..operators.drift import (
     threshold_drift,
 )
 from ..schemas import DECISION
-from ..session import staged_inside, staging_path
+from ..session import stage, staged_inside, staging_path
 from ..sources.access_logs import observed_counts, read_access_logs
 from ..sources.alert_sink import save_alerts
 from ..sources.log_table import (
@@ -126,15 +126,18 @@ def score_file(
 ) -> DataFrame:
     """Score a log file or folder; with ``out``, also write the alerts.
 
-    Scoring reads the requests twice (features, then the URLs of flagged windows).
-    With ``log_table`` the JSON is parsed once, and both passes read the columns of
-    this file's rows.
+    Scoring reads the requests twice (features, then the URLs of flagged windows), so the
+    JSON is parsed once into columns, in ``log_table`` or a staged table. Bad records
+    are counted and logged.
     """
     if log_table:
         requests, counts = ingest(spark, path, log_table)
-        log_bad_records(path, counts)
     else:
-        requests = read_access_logs(spark, path)[0]
+        seen = Observation()
+        good, bad = read_access_logs(spark, path)
+        requests = stage(observed_counts(good.unionByName(bad), seen), "requests")
+        counts = IngestCounts(seen.get["good"], seen.get["bad"])
+    log_bad_records(path, counts)
     alerts = score_with_active(requests, library, cfg)
     if out:
         save_alerts(alerts, out)

@@ -31,10 +31,11 @@ RAW_EVENT = T.StructType(
                         "response",
                         T.StructType(
                             [
-                                T.StructField("status_code", T.IntegerType()),
+                                # numbers of any form: 404.0 is 404
+                                T.StructField("status_code", T.DoubleType()),
                                 T.StructField(
                                     "body",
-                                    T.StructType([T.StructField("bytes", T.LongType())]),
+                                    T.StructType([T.StructField("bytes", T.DoubleType())]),
                                 ),
                             ]
                         ),

@@ -14,10 +14,16 @@ _COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(\d{2}))?"
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Text lines -> ``event`` structs; blank lines drop, malformed ones are null."""
+    """Text lines -> ``event`` structs; blank lines drop, malformed ones are null.
+
+    A line is one whole object: read as the only element of an array, text behind it
+    is malformed too.
+    """
     text = F.trim(F.regexp_replace(column, r"^[\s\uFEFF]+|\s+$", ""))
     kept = lines.withColumn(column, text).filter(F.col(column) != "")
-    return kept.withColumn("event", F.from_json(column, RAW_EVENT))
+    parsed = F.from_json(F.concat(F.lit("["), F.col(column), F.lit("]")), T.ArrayType(RAW_EVENT))
+    whole = (F.size(parsed) == 1) & F.endswith(F.col(column), F.lit("}"))
+    return kept.withColumn("event", F.when(whole, F.get(parsed, F.lit(0))))
 
 
 def event_time(text: Column) -> Column:
@@ -41,8 +47,8 @@ def flatten(events: DataFrame, event: str = "event") -> DataFrame:
         text("http.request.method", "GET").alias("method"),
         text("url.path").alias("path"),
         text("url.query").alias("query"),
-        F.coalesce(F.col(f"{response}.status_code"), F.lit(0)).alias("status"),
-        F.coalesce(F.col(f"{response}.body.bytes"), F.lit(0).cast("bigint")).alias("bytes"),
+        F.coalesce(F.col(f"{response}.status_code").try_cast("int"), F.lit(0)).alias("status"),
+        F.coalesce(F.col(f"{response}.body.bytes").try_cast("bigint"), F.lit(0).cast("bigint")).alias("bytes"),
         text("user_agent.original").alias("ua"),
         text("http.request.referrer").alias("referrer"),
         *[c for c in events.columns if c not in (event, "value")],

@@ -6,7 +6,7 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -15,9 +15,9 @@ from ..operators.alerts import worst_urls
 from ..operators.features import request_features, shape_rollup, time_window, window_rollup
 from ..plans.model import Model
 from ..plans.scoring import alerts_for, flagged_windows, score_batch
-from ..plans.workflows import Library, prepare_history
+from ..plans.workflows import IngestCounts, Library, log_bad_records, prepare_history
 from ..session import staged_inside
-from ..sources.access_logs import flatten, is_good, parse_lines
+from ..sources.access_logs import flatten, is_good, observed_counts, parse_lines
 from ..sources.alert_sink import append_alerts
 from ..sources.appended_file import current_offsets, read_appended_file, read_lines_up_to
 from ..sources.log_table import append_records, read_log_table
@@ -146,7 +146,9 @@ def follow_file(
     ):
         start = current_offsets(pattern)
         lines = flatten(parse_lines(read_lines_up_to(spark, pattern, start)))
-        append_records(lines.filter(is_good()), log_table, run="history")
+        seen = Observation()
+        append_records(observed_counts(lines, seen), log_table, run="history")
+        log_bad_records(pattern, IngestCounts(seen.get["good"], seen.get["bad"]))
         prepare_history(read_log_table(spark, log_table, "history"), library, cfg, history, mode=mode)
     records = flatten(parse_lines(read_appended_file(spark, pattern, start=start)))
     return score_microbatches(records, library, cfg, out, checkpoint, log_table, **options)
