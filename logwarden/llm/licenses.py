@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,10 +117,25 @@ def license_digest(text: Column) -> Column:
     return F.when(found != "", F.sha2(found, 256))
 
 
-def _tail(text: Column) -> Column:
-    """The last letters of a text, the same for all its spellings; notices stand ahead and are not in them."""
-    letters = F.regexp_replace(F.lower(F.right(text, F.lit(TAIL_CHARS))), r"[^\p{L}\p{M}\p{N}]+", "")
-    return F.right(F.translate(letters, "czu", "ss"), F.lit(TAIL_LETTERS))
+_SPELT_ALIKE = str.maketrans("cz", "ss", "u")
+
+
+def _letters(text: str) -> str:
+    return "".join(filter(str.isalnum, text.lower()))
+
+
+def tail(text: str) -> str | None:
+    """The last letters of a text, the same for all its spellings; None if they do not show in its last characters.
+
+    Notices stand ahead of a text, so they are not in them.
+    """
+    letters = _letters(text[-40:])
+    if len(letters) < 2 * TAIL_LETTERS and len(text) > 40:
+        letters = _letters(text[-TAIL_CHARS:])
+    letters = letters.translate(_SPELT_ALIKE)
+    if len(letters) < TAIL_LETTERS and len(text) > TAIL_CHARS:
+        return None
+    return letters[-TAIL_LETTERS:]
 
 
 def known_licenses() -> list[tuple[str, str]]:
@@ -131,18 +148,42 @@ def license_table(spark: SparkSession, licenses=None) -> DataFrame:
     return spark.createDataFrame([*licenses], "license string, text string")
 
 
-def _possible(rows: DataFrame, text: str, known: DataFrame) -> DataFrame:
-    """The rows whose text ends like a known one; the others cannot have a known digest."""
-    tails = known.select(_tail(F.col("_canonical")).alias("_known_tail")).distinct()
-    if not tails.filter(F.length("_known_tail") < TAIL_LETTERS).isEmpty():
-        return rows  # a known text of few letters: notices may be in the tail
-    tails = F.broadcast(tails) if tails.count() <= BROADCAST_LICENSES else tails
-    tail = _tail(F.col(text))
-    # few letters among many signs at the end of a long text: the tail does not tell
-    unclear = (F.length(tail) < TAIL_LETTERS) & (F.length(text) > TAIL_CHARS)
-    keyed = rows.withColumn("_tail", tail)
-    sure = keyed.filter(~unclear).join(tails, F.col("_tail") == F.col("_known_tail"), "left_semi")
-    return sure.unionByName(keyed.filter(unclear)).drop("_tail")
+_UNIT = "doc_id {}, _of string, _place int, _text string"
+
+
+def _possible(docs: DataFrame, tails: set[str] | None) -> DataFrame:
+    """Whole texts (place -1) and lines (from 0) that end like a known text; the others have no known digest.
+
+    All of them if ``tails`` is None. ``_of`` is the MD5 sum of the whole text.
+    """
+
+    def may_be(text: str) -> bool:
+        if tails is None:
+            return True
+        found = tail(text)
+        return found is None or found in tails
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, units, ids = [], [], batch.column(0)
+            for i, text in enumerate(batch.column(1).cast(pa.large_string()).to_pylist()):
+                if text is None:
+                    continue
+                found = [(-1, text)] if may_be(text) else []
+                found += [(place, line) for place, line in enumerate(text.split("\n")) if may_be(line)]
+                if found:
+                    of = hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
+                    rows += [i] * len(found)
+                    units += [(of, *unit) for unit in found]
+            columns = zip(*units, strict=True) if units else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(rows, pa.int64())),
+                 *[pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()), strict=True)]],
+                names=["doc_id", "_of", "_place", "_text"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(find, _UNIT.format(kind))
 
 
 def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None) -> DataFrame:
@@ -162,27 +203,22 @@ def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None) -> DataFra
     known = stage(known.select(
         "_canonical", F.sha2("_canonical", 256).alias("_digest"), "license"
     ).groupBy("_digest").agg(F.min("license").alias("_license"), F.first("_canonical").alias("_canonical")), "licenses")
-    digests = known.select("_digest", "_license")
+    digests, tails = known.select("_digest", "_license"), None
     if known.count() <= BROADCAST_LICENSES:
         digests = F.broadcast(digests)
+        ends = known.select(F.right("_canonical", F.lit(TAIL_CHARS)).alias("end")).collect()
+        tails = {tail(r.end) for r in ends}
+        if None in tails or any(len(t) < TAIL_LETTERS for t in tails):
+            tails = None  # a known text of few letters: notices may be in what it ends with
     rows = docs.select("doc_id", "text")
-    whole = _possible(rows, "text", known).select(
-        F.col("doc_id").alias("_doc_id"), F.md5("text").alias("_of"), license_digest(F.col("text")).alias("_whole")
-    ).join(digests, F.col("_whole") == F.col("_digest")).select(
-        "_doc_id", "_of", F.col("_license").alias("_whole_license"),
-        F.lit(None).cast("string").alias("_line_license"), F.lit(None).cast("int").alias("_place"),
-    )
-    lines = rows.select("doc_id", F.md5("text").alias("_of"), F.posexplode(F.split("text", "\n")).alias("_place", "_line"))
-    lines = _possible(lines, "_line", known).select(
-        F.col("doc_id").alias("_doc_id"), "_of", "_place", license_digest(F.col("_line")).alias("_line_digest")
-    ).join(digests, F.col("_line_digest") == F.col("_digest")).select(
-        "_doc_id", "_of", F.lit(None).cast("string").alias("_whole_license"),
-        F.col("_license").alias("_line_license"), "_place",
+    units = _possible(rows, tails).select(
+        F.col("doc_id").alias("_doc_id"), "_of", "_place", license_digest(F.col("_text")).alias("_unit")
     )
-    hits = whole.unionByName(lines).groupBy("_doc_id", "_of").agg(
-        F.min("_whole_license").alias("license"),
-        F.array_join(F.array_sort(F.collect_set("_line_license")), ",").alias("line_licenses"),
-        F.countDistinct("_place").alias("n_license_lines"),
+    of_line = F.col("_place") >= 0
+    hits = units.join(digests, F.col("_unit") == F.col("_digest")).groupBy("_doc_id", "_of").agg(
+        F.min(F.when(~of_line, F.col("_license"))).alias("license"),
+        F.array_join(F.array_sort(F.collect_set(F.when(of_line, F.col("_license")))), ",").alias("line_licenses"),
+        F.countDistinct(F.when(of_line, F.col("_place"))).alias("n_license_lines"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text") == F.col("_of"))
     return rows.select("doc_id", F.md5("text").alias("_text")).join(hits, same, "left").select(
