@@ -94,46 +94,58 @@ class ModelRegistry:
             return self.spark.createDataFrame([], REGISTRY_EVENT)
         return self.spark.read.schema(REGISTRY_EVENT).parquet(self._path)
 
-    def _append(self, model_id: str, event: str, **fields) -> None:
-        top = self.events().agg(F.max("seq")).first()[0] or 0
-        row = {name: fields.get(name) for name in REGISTRY_EVENT.names}
-        row.update(seq=top + 1, model_id=model_id, event=event, at=datetime.now(timezone.utc))
-        frame = self.spark.createDataFrame(
-            [tuple(row[name] for name in REGISTRY_EVENT.names)], REGISTRY_EVENT
+    def record(self, steps: list[tuple[str, str, dict]]) -> None:
+        """Append ``(event, model_id, fields)`` in their order, all or, if one is not allowed, none.
+
+        However many steps there are, the history is read once and one file is written, so
+        long histories should come as few calls. A step sees those before it.
+        """
+        wanted = sorted({model_id for event, model_id, _ in steps if event != "skipped"})
+        frame = self.spark.createDataFrame([(m,) for m in wanted], "model_id string")
+        states = self.events().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).withColumn("model_id", F.lit(None).cast("string"))
+        named = F.col("event").isin(*_STATUS)
+        known = self.events().filter(named).join(F.broadcast(frame), "model_id", "left_semi").groupBy("model_id").agg(
+            F.max_by("event", "seq").alias("status"), F.max(F.col("event") == "approved").alias("approved")
         )
-        frame.coalesce(1).write.mode("append").parquet(self._path)
-
-    def _status(self, model_id: str) -> str | None:
-        row = model_list(self.events()).filter(F.col("model_id") == model_id).first()
-        return row.status if row else None
+        rows = states.unionByName(known, allowMissingColumns=True).collect()  # one row per model of the steps
+        top = next(r.top for r in rows if r.top is not None)
+        status = {r.model_id: r.status for r in rows if r.top is None}
+        approved = {r.model_id for r in rows if r.approved}
+        table = []
+        for seq, (event, model_id, fields) in enumerate(steps, top + 1):
+            if event in ("approved", "rejected") and status.get(model_id) != "candidate":
+                raise RegistryError(f"{model_id} is not a candidate")
+            if event == "rolled_back" and model_id not in approved:
+                raise RegistryError(f"{model_id} was never approved")
+            if event in _STATUS:
+                status[model_id] = event
+            if event == "approved":
+                approved.add(model_id)
+            row = {**fields, "seq": seq, "model_id": model_id, "event": event, "at": datetime.now(timezone.utc)}
+            table.append(tuple(row.get(name) for name in REGISTRY_EVENT.names))
+        self.spark.createDataFrame(table, REGISTRY_EVENT).coalesce(1).write.mode("append").parquet(self._path)
+
+    @staticmethod
+    def candidate(model_id: str, cfg: DetectorConfig, **meta) -> tuple[str, str, dict]:
+        """The step that registers a model."""
+        fields = {"version": ENGINE_VERSION, "features": list(FEATURE_COLUMNS), "config": cfg.fingerprint()}
+        return "candidate", model_id, {**fields, **meta}
 
     def register(self, model_id: str, cfg: DetectorConfig, **meta) -> None:
-        self._append(
-            model_id, "candidate", version=ENGINE_VERSION, features=list(FEATURE_COLUMNS),
-            config=cfg.fingerprint(), **meta,
-        )
+        self.record([self.candidate(model_id, cfg, **meta)])
 
     def skip(self, model_id: str, **meta) -> None:
         """A training window that was looked at but too small to train on."""
-        self._append(model_id, "skipped", **meta)
+        self.record([("skipped", model_id, meta)])
 
     def approve(self, model_id: str) -> None:
-        if self._status(model_id) != "candidate":
-            raise RegistryError(f"{model_id} is not a candidate")
-        self._append(model_id, "approved")
+        self.record([("approved", model_id, {})])
 
     def reject(self, model_id: str) -> None:
-        if self._status(model_id) != "candidate":
-            raise RegistryError(f"{model_id} is not a candidate")
-        self._append(model_id, "rejected")
+        self.record([("rejected", model_id, {})])
 
     def rollback(self, model_id: str) -> None:
-        approved = self.events().filter(
-            (F.col("model_id") == model_id) & (F.col("event") == "approved")
-        )
-        if approved.isEmpty():
-            raise RegistryError(f"{model_id} was never approved")
-        self._append(model_id, "rolled_back")
+        self.record([("rolled_back", model_id, {})])
 
     def active_id(self) -> str | None:
         row = active_model(self.events()).first()
@@ -143,7 +155,12 @@ class ModelRegistry:
         return model_list(self.events())
 
     def next_model_id(self, prefix: str = "model_v") -> str:
-        return f"{prefix}{next_model_number(self.events()).first().next_number}"
+        return self.next_model_ids(1, prefix)[0]
+
+    def next_model_ids(self, n: int, prefix: str = "model_v") -> list[str]:
+        """The ids of the next ``n`` models, if each is registered."""
+        first = next_model_number(self.events()).first().next_number
+        return [f"{prefix}{first + i}" for i in range(n)]
 
     def compatibility(self, model_id: str, cfg: DetectorConfig) -> DataFrame:
         return compatibility(self.events(), cfg, model_id)

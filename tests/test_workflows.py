@@ -109,6 +109,27 @@ def test_registry_rules(spark, tmp_path):
     assert [(r["item"], r.saved, r.current) for r in other.collect()] == [("alert_pct", "90.0", "99.0")]
 
 
+def test_many_registry_steps_are_one_write(spark, tmp_path):
+    """A long history costs one read and one file; a step sees those before it."""
+    registry = ModelRegistry(spark, str(tmp_path / "reg"))
+    registry.register(registry.next_model_id(), CFG)
+    ids = registry.next_model_ids(400)
+    assert ids[0] == "model_v2"
+    steps = [("approved", "model_v1", {})]
+    for model_id in ids:
+        steps += [registry.candidate(model_id, CFG, n_train_windows=7), ("approved", model_id, {})]
+    registry.record([*steps, ("rolled_back", "model_v1", {})])
+    assert len(list((tmp_path / "reg" / "events").glob("part-*"))) == 2
+    assert [r.seq for r in registry.events().orderBy("seq").collect()] == list(range(1, 804))
+    assert registry.active_id() == "model_v1" and registry.next_model_id() == "model_v402"
+    for wrong in (("approved", "model_v9", {}), ("rejected", "model_v500", {}), ("rolled_back", "model_v500", {})):
+        with pytest.raises(RegistryError):
+            registry.record([registry.candidate("model_v402", CFG), wrong])
+    assert registry.events().count() == 803
+    with pytest.raises(RegistryError):
+        registry.record([("approved", "model_v402", {}), registry.candidate("model_v402", CFG)])
+
+
 def test_retrain_takes_the_oldest_ready_window(spark, tmp_path):
     library = J.Library(spark, str(tmp_path / "lib"))
     log = traffic(spark, range(13)).cache()
