@@ -20,15 +20,32 @@ from pyspark.sql.datasource import (
 )
 
 _TAIL_BLOCK = 64 * 1024
+#: Tasks that a micro-batch is cut into before short ranges share one.
+MOST_TASKS = 256
+#: Bytes of the ranges that share a task.
+TASK_BYTES = 64 * 1024 * 1024
 
 
 @dataclass
-class ByteRange(InputPartition):
+class ByteRange:
     path: str
     start: int
     end: int
 
 
+@dataclass
+class ByteRanges(InputPartition):
+    """The ranges that one task reads, one after the other."""
+
+    ranges: list[ByteRange]
+
+
+def _dealt(ranges: list[ByteRange], range_bytes: int) -> list[ByteRanges]:
+    """Short ranges share tasks, as a task costs more than a range."""
+    each = max(1, min(-(-len(ranges) // MOST_TASKS), TASK_BYTES // range_bytes))
+    return [ByteRanges(ranges[at : at + each]) for at in range(0, len(ranges), each)]
+
+
 def _last_line_end(path: str, floor: int) -> int:
     """Position after the last newline at or beyond ``floor``."""
     size = os.path.getsize(path)
@@ -69,18 +86,22 @@ class AppendedFileReader(DataSourceStreamReader):
                 cut = min(stop, begin + self.range_bytes)
                 ranges.append(ByteRange(path, begin, cut))
                 begin = cut
-        return ranges
-
-    def read(self, partition: ByteRange):
-        """Lines that start inside the range (the last may end beyond it)."""
-        with open(partition.path, "rb") as f:
-            if partition.start > 0:
-                f.seek(partition.start - 1)
-                f.readline()
-            else:
-                f.seek(0)
-            while f.tell() < partition.end:
+        return _dealt(ranges, self.range_bytes)
+
+    def read(self, partition: ByteRanges):
+        """Lines that start inside a range (its last may end beyond it)."""
+        for part in partition.ranges:
+            yield from self._lines(part)
+
+    def _lines(self, part: ByteRange):
+        with open(part.path, "rb") as f:
+            at = 0
+            if part.start > 0:
+                f.seek(part.start - 1)
+                at = part.start - 1 + len(f.readline())
+            while at < part.end:
                 line = f.readline()
+                at += len(line)
                 if not line.endswith(b"\n"):
                     break
                 text = line.decode("utf-8", "replace").rstrip("\r\n")
@@ -97,10 +118,10 @@ class AppendedFileBatchReader(DataSourceReader):
 
     def partitions(self):
         end = self.stream.latestOffset() if self.end is None else self.end
-        return self.stream.partitions({}, end) or [ByteRange("", 0, 0)]
+        return self.stream.partitions({}, end) or [ByteRanges([])]
 
-    def read(self, partition: ByteRange):
-        return self.stream.read(partition) if partition.path else iter(())
+    def read(self, partition: ByteRanges):
+        return self.stream.read(partition)
 
 
 class AppendedFileSource(DataSource):

@@ -249,6 +249,17 @@ def test_ranges_cover_each_line_once(tmp_path):
         assert got == file.read_text(encoding="utf-8").splitlines()
 
 
+def test_many_short_ranges_share_tasks(tmp_path):
+    """The number of tasks is bounded; no line is lost or read twice."""
+    file = tmp_path / "log"
+    lines = [f"line {i} " + "x" * (i % 40) for i in range(4000)]
+    file.write_text("\n".join(lines) + "\n")
+    reader = AppendedFileReader({"path": str(file), "rangeBytes": "50"})
+    parts = reader.partitions({}, reader.latestOffset())
+    assert sum(len(p.ranges) for p in parts) > 2000 and len(parts) <= 256
+    assert [v for p in parts for (v,) in reader.read(p)] == lines
+
+
 def test_follow_file(spark, tmp_path):
     """History first, then only what was appended."""
     log = traffic(spark, range(7))
