@@ -188,3 +188,22 @@ def test_scaler(spark):
     assert scaler["burst_rate"] == pytest.approx((3.0, np.std([1, 2, 6])))
     x = np.array([r.x for r in scale(df, scaler).collect()])
     assert np.allclose(x[:, -1].std(), 1) and np.allclose(x[:, 0], 0)
+
+
+def test_probes_measure_only_what_can_be_near(monkeypatch):
+    """Same pairs, ties and distances as by brute force, of which few are measured exactly."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(3000, 24)) * rng.choice([0.0, 1.0, 300.0], size=24), 1)
+    x[1500:1600] = x[:100]
+    points = pd.DataFrame({"rid": [f"r{i:05d}" for i in range(3000)], "x": list(x), "weight": 1, "k_dist": 0.0, "lrd": 0.0})
+    queries = pd.DataFrame({"qid": [f"q{i}" for i in range(200)], "x": list(x[:200]), "reach": rng.uniform(0.0, 900.0, 200)})
+    d = N._distances(x[:200], x)
+    wanted = []
+    for i in range(200):
+        near = sorted((d[i, j], j) for j in range(3000) if d[i, j] <= queries["reach"][i])[:21]
+        wanted += [(f"q{i}", f"r{j:05d}", dist) for dist, j in near]
+    measured, pair_distances = [], N._pair_distances
+    monkeypatch.setattr(N, "_pair_distances", lambda a, b: measured.append(len(a)) or pair_distances(a, b))
+    got = N._nearest(queries, N._as_arrays(points), 21)
+    assert [tuple(r) for r in got[["qid", "rid", "distance"]].to_numpy()] == wanted
+    assert sum(measured) < 200 * 60
