@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage, stage_bucketed
-from .words import free_worker, mixed
+from .words import free_worker, leaves_room, leaves_room_by_group, mixed
 
 ORDER = 5
 SYMBOLS = 128
@@ -98,6 +98,7 @@ def trigram_model(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _packed(docs: DataFrame) -> DataFrame:
     """Whole texts of one fold in blocks of about BLOCK_BYTES; a longer text has a block of its own."""
 
+    @leaves_room
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
         number = TaskContext.get().partitionId() << 32
@@ -220,6 +221,7 @@ def _by_shard(grams: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]
 
 
 def _asked(blocks: DataFrame, shards: int, parts: int) -> DataFrame:
+    @leaves_room
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         free_worker()
         for batch in batches:
@@ -239,6 +241,7 @@ def _asked(blocks: DataFrame, shards: int, parts: int) -> DataFrame:
 # -- the model --------------------------------------------------------------------------
 
 
+@leaves_room_by_group
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
     """The counts of one shard and fold (and part) as one row; grams without counts go."""
     keys = [_keys(k, n) for k, n in zip(rows["keys"], rows["n"], strict=True)]
@@ -303,6 +306,7 @@ def _classes(grams: np.ndarray) -> np.ndarray:
 def trigram_counts(model: DataFrame) -> DataFrame:
     """``(fold, gram, n)``: how often three classes follow each other, at most 2 * TRIGRAMS rows."""
 
+    @leaves_room
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((2, TRIGRAMS), "i8")
         for batch in batches:
@@ -350,12 +354,13 @@ def score(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(base)
     names = [f"n{i}" for i in range(8)]
     kinds = model.mapInPandas(
-        lambda batches: map(_kinds, batches), "fold int, " + ", ".join(f"{n} long" for n in names)
+        leaves_room(lambda batches: map(_kinds, batches)), "fold int, " + ", ".join(f"{n} long" for n in names)
     ).groupBy("fold").agg(*[F.sum(n).alias(n) for n in names]).collect()  # two rows
     by = np.array([[discounts([0] * 4)] * 2] * 2)
     for row in kinds:
         by[row.fold] = [discounts([row[n] for n in names[:4]]), discounts([row[n] for n in names[4:]])]
 
+    @leaves_room_by_group
     def answer(requests: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
         of = {row["fold"]: row for row in models.to_dict("records")}
         out = []
@@ -375,7 +380,7 @@ def score(docs: DataFrame) -> DataFrame:
     models = model.select("shard", every_part, "fold", "keys", "counts", "n").groupBy("shard", "part")
     answers = requests.cogroup(models).applyInPandas(answer, _ANSWER)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        lambda block, found: _sums(block, found, shards), _SCORE
+        leaves_room_by_group(lambda block, found: _sums(block, found, shards)), _SCORE
     )
 
 

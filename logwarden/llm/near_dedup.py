@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .components import components
 from .sized import sized
-from .words import free_worker, mixed, shingle_numbers, text_slices, word_numbers
+from .words import free_worker, leaves_room, mixed, shingle_numbers, text_slices, word_numbers
 
 _SKETCH = "doc_id long, n_shingles long, set_key binary, sketch binary"
 
@@ -103,6 +103,7 @@ def similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, b
 def sketches(docs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
     """One row per document: the size of its shingle set, a 128-bit key of the set, registers."""
 
+    @leaves_room
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
         for batch in batches:
@@ -145,6 +146,7 @@ def _true_links(pairs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
             return {tuple(words)} if words else set()
         return set(zip(*(words[i:] for i in range(cfg.shingle)), strict=False))
 
+    @leaves_room
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, first = None, set()
         for batch in batches:
@@ -164,6 +166,7 @@ def _true_links(pairs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
 def _likely(pairs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
     """The (a, b) whose registers do not rule out a link."""
 
+    @leaves_room
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             a, b = (
@@ -210,6 +213,7 @@ def _beside_hub(pairs: DataFrame, cfg: NearDedupConfig) -> DataFrame:
     of shingles that both have.
     """
 
+    @leaves_room
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0

@@ -17,15 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .words import free_worker, kept_by_worker, text_slices
+from .words import free_worker, kept_by_worker, leaves_room, leaves_room_by_group, text_slices
 
 SEQUENCE_TOKENS = 2048
 #: Pieces that one task packs.
 SHARD_PIECES = 8192
-#: Distinct words whose ids a Python worker remembers; beyond, it forgets all and goes on.
-WORDS_KEPT = 1_200_000
+#: Distinct words whose ids a Python worker remembers, in two halves; when one is full, the words that
+#: were not met since the other was begun are forgotten.
+WORDS_KEPT = 300_000
 #: Bytes of text that are tokenized at a time.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -56,11 +57,27 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
+        self._begin()
+        self.before = (self.known, self.ids, self.starts, self.counts)
+
+    def _begin(self) -> None:
         self.known: dict[str, int] = {"": 0}
         self.ids = array("I")
         self.starts = array("q", [0])
         self.counts = array("q", [0])
 
+    def _age(self) -> None:
+        self.before = (self.known, self.ids, self.starts, self.counts)
+        self._begin()
+
+    def _remember(self, words: list[str]) -> None:
+        """Takes over the ids of those of ``words`` that the half before knows."""
+        known, ids, starts, counts = self.before
+        for word in words:
+            if (number := known.get(word)) is not None:
+                start = starts[number]
+                self._add(word, ids[start : start + counts[number]])
+
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         for some in text_slices(texts, BATCH_BYTES):
             yield from self._encode_some(some)
@@ -86,16 +103,20 @@ class WordIds:
                 yield ids[bounds[i] : bounds[i + 1]]
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > WORDS_KEPT:
-            self.forget()
+        if len(self.known) > WORDS_KEPT // 2:
+            self._age()
         known = self.known
         found = list(map(known.get, words))
         if None not in found:
             return np.array(found, "int64")
         new = [w for w, number in zip(words, found, strict=True) if number is None]
+        self._remember(new)
+        new = [w for w in new if w not in known]
         stems = dict.fromkeys(w[:-1] if _ends_in_stop(w) else w for w in new)
         stops = dict.fromkeys(w[-1] for w in new if _ends_in_stop(w))
-        fresh = [w for w in {**stems, **stops} if w not in known]
+        parts = [w for w in {**stems, **stops} if w not in known]
+        self._remember(parts)
+        fresh = [w for w in parts if w not in known]
         for at in range(0, len(fresh), 4096):
             self._tokenize(fresh[at : at + 4096])
         for word in new:
@@ -142,6 +163,7 @@ def _word_ids(tokenizer_path: str) -> WordIds:
 def token_pieces(docs: DataFrame, tokenizer_path: str, most: int, end_id: int = 0) -> DataFrame:
     """Each document's ids and ``end_id`` in pieces of ``most`` ids; the last may be shorter."""
 
+    @leaves_room
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker(keep=_word_ids)
         words, end = _word_ids(tokenizer_path), np.array([end_id], "<u4")
@@ -340,7 +362,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _pack_shards(pieces: DataFrame, shards: int, most: int, turn: int) -> DataFrame:
+    @leaves_room_by_group
     def packed(group: pd.DataFrame) -> pd.DataFrame:
+        free_worker()  # known words are of no more use
         first = (turn << 48) + (int(group["_shard"].iloc[0]) << 20)
         group = group.drop(columns="_shard").sort_values(
             ["length", "doc_id", "piece", "ids_crc32"], ignore_index=True

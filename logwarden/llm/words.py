@@ -32,12 +32,48 @@ def free_worker(keep: Callable | None = None) -> None:
         for cached in others:
             cached.cache_clear()
         gc.collect()
+    _give_back()
+
+
+def _give_back() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:  # glibc keeps what freed arrays have left
         trim(0)
 
 
+def leaves_room(task: Callable) -> Callable:
+    """A function over a task's batches that gives back, when they end, what freed arrays have left in the worker.
+
+    Workers of an operator's last stage idle beside those of the next one, which may be others.
+    """
+
+    @functools.wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        _give_back()
+
+    return run
+
+
+def leaves_room_by_group(task: Callable) -> Callable:
+    """As ``leaves_room``, for a function of one group or of a pair of groups."""
+
+    def one(group):
+        try:
+            return task(group)
+        finally:
+            _give_back()
+
+    def pair(left, right):
+        try:
+            return task(left, right)
+        finally:
+            _give_back()
+
+    return functools.wraps(task)(pair if task.__code__.co_argcount == 2 else one)
+
+
 def text_slices(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[pa.Array]:
     """The array in slices of about ``most`` bytes; nulls become empty texts."""
     if texts.offset:  # Arrow 23 mixes up the bytes of a slice that is cast and then lower-cased
