@@ -8,7 +8,7 @@ from logwarden.config import DetectorConfig
 from logwarden.fixture import access_log
 from logwarden.plans import workflows as J
 from logwarden.sources.log_table import append_records, compact, read_log_table
-from logwarden.plans.model import TooFewWindows
+from logwarden.plans.model import TooFewWindows, train_model
 from logwarden.plans.registry import ModelRegistry, RegistryError
 from logwarden.plans.scoring import score_batch, score_requests
 
@@ -152,6 +152,28 @@ def test_pending_candidate_waits_for_the_analyst(spark, tmp_path):
     assert library.registry.active_id() == "model_v2"
 
 
+def test_ready_windows_train_side_by_side_as_one_by_one(spark, tmp_path, monkeypatch):
+    """Slice 1 is too small. Of the others some are rejected, so the next review is against an older model."""
+    cfg = DetectorConfig(trees=20, train_days=0.25, drift_threshold=0.4, drift_reject_above=0.5)
+    hours = [*range(6), 6, *range(12, 31)]
+    log = traffic(spark, hours).unionByName(traffic(spark, range(12, 18), ips=3, noise=9)).cache()
+    single, several = (J.Library(spark, str(tmp_path / name)) for name in ("single", "several"))
+    one_by_one = []
+    while done := J.retrain(log, single, cfg):
+        one_by_one += done
+    read = []
+    monkeypatch.setattr(J, "train_model", lambda rows, *rest: read.append(rows.inputFiles()) or train_model(rows, *rest))
+    assert J.retrain(log, several, cfg, all_ready=True) == one_by_one
+    assert [d["decision"] for d in one_by_one][:2] == ["promote", "skipped"]
+    assert {"promote", "reject"} <= {d["decision"] for d in one_by_one[2:]}
+    # a model's training reads its own slice only, and the events come in one write
+    assert all(len({f.split("/slice=")[1].split("/")[0] for f in files}) == 1 for files in read) and len(read) == 4
+    assert len(several.registry.events().inputFiles()) == 1
+    columns = ["seq", "event", "model_id", "train_window_start", "train_window_end", "n_train_windows", "fused_threshold"]
+    history = [lib.registry.events().select(*columns).orderBy("seq").collect() for lib in (single, several)]
+    assert history[0] == history[1]
+
+
 @pytest.mark.parametrize(
     "lag, scored, trained_on",
     [
