@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from logwarden.checks import queries as Q
 from logwarden.config import DetectorConfig
 from logwarden.plans import workflows as J
 from logwarden.session import staging_root
@@ -202,6 +203,23 @@ def wait_for(condition, seconds=30):
         time.sleep(0.2)
 
 
+@pytest.mark.parametrize("step", [1, 8])
+def test_late_arrivals_have_equally_many_files(spark, tmp_path, step):
+    """A batch is one arrival; ids that fill too few files go to one file for each arrival."""
+    spark.range(1).selectExpr("id AS page_id", "'http://a.org/p?q=1' AS url").write.parquet(f"{tmp_path}/pages.parquet")
+    events = spark.range(0, 2000, step).selectExpr("id AS event_id", "id AS user_id", "'view' AS event_type")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    folder, files = Q._late_arrivals(spark, str(tmp_path))
+    assert files == (spark.sparkContext.defaultParallelism if step == 1 else 1)
+    written = sorted((f for f in os.scandir(folder) if f.name.startswith("part-")), key=lambda f: f.stat().st_mtime_ns)
+    assert len(written) == 3 * files
+    rows = [sum(sum(1 for _ in open(f)) for f in written[i * files : (i + 1) * files]) for i in range(3)]
+    ids = range(0, 2000, step)
+    fresh, kept = (sum(ids[-1] - i <= 300 * hours for i in ids) for hours in (2, 4))
+    assert rows == [fresh, kept - fresh, len(ids) - kept]
+
+
 def test_late_rows_of_more_batches_than_a_query_remembers(spark, tmp_path):
     """130 reports, one of them repeated; a query keeps the progress of 100."""
     table = str(tmp_path / "late")
