@@ -207,3 +207,41 @@ def test_probes_measure_only_what_can_be_near(monkeypatch):
     got = N._nearest(queries, N._as_arrays(points), 21)
     assert [tuple(r) for r in got[["qid", "rid", "distance"]].to_numpy()] == wanted
     assert sum(measured) < 200 * 60
+
+
+def test_leaves_out_of_reach_are_not_measured(monkeypatch):
+    """A cell's points meet only queries whose reach touches their leaf; the first bound comes from leaves nearby."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(8000, 3)) @ rng.normal(size=(3, 24)) + rng.normal(size=(8000, 24)) / 50, 9)
+    points = pd.DataFrame({"rid": [f"r{i:05d}" for i in range(8000)], "x": list(x), "weight": 1, "k_dist": 0.0, "lrd": 0.0})
+    queries = pd.DataFrame({"qid": [f"q{i}" for i in range(100)], "x": list(x[:100])})
+    pairs, squares = [], N._squares
+    monkeypatch.setattr(N, "_squares", lambda a, b: pairs.append(len(a) * len(b)) or squares(a, b))
+    got = N._nearest(queries, N._as_arrays(points), 21)
+    d = N._distances(x[:100], x)
+    nearest = np.argsort(d, axis=1, kind="stable")[:, :21]
+    assert list(got["rid"]) == [f"r{j:05d}" for j in nearest.ravel()]
+    assert sum(pairs) < 100 * 8000 / 4
+
+
+def test_neighbours_over_many_cells_with_rows_that_are_no_numbers(spark):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(900, 6)) * [9, 3, 1, 1, 0, 1], 1)
+    x[700:] = np.round(x[700:], 0)
+    x[5, 2] = np.nan
+    points = stage(N.weighted_points(vectors(spark, x)), "points")
+    asked = np.vstack([x[:150] + 0.05, [[1e4] * 6, [np.nan] * 6]])
+    found = N.knn_join(vectors(spark, asked).withColumnRenamed("row_key", "qid"), points, 5).collect()
+    assert N._cells(points, 900, 5).depth == 4
+    reference = [(r.rid, np.array(r.x), r.weight) for r in points.collect() if np.isfinite(r.x).all()]
+    for i, query in enumerate(asked[:151]):
+        if not np.isfinite(query).all():
+            continue
+        nearest, total = [], 0
+        for d, rid, weight in sorted((N._pair_distances(query[None], v[None])[0], rid, w) for rid, v, w in reference):
+            if total >= 5:
+                break
+            nearest.append((d, rid))
+            total += weight
+        assert sorted((r.distance, r.rid) for r in found if r.qid == f"k{i:05d}") == nearest
+    assert not [r for r in found if r.qid in ("k00005", "k00151")]
