@@ -112,3 +112,26 @@ def test_too_late_rows_are_set_aside(spark, tmp_path, library):
     aside = spark.read.parquet(f"{root}/too_late")
     assert aside.agg(F.sum("n")).first()[0] == 100
     assert C.current_windows(spark, root).filter("hour(window_ts) = 6 AND day(window_ts) = 1").count() == 0
+
+
+def test_state_of_open_windows_is_not_held_on_the_heap(spark, tmp_path, library):
+    """A query that was started with another provider goes on with it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    write_json(traffic(spark, [6, 7]), tmp_path / "in")
+    records = X.stream_directory(spark, str(tmp_path / "in"))
+
+    def metrics(checkpoint):
+        run = C.score_closed_windows(
+            records, library, CFG, str(tmp_path / "out"), str(tmp_path / checkpoint), delay="5 minutes", trigger=NOW
+        )
+        run.awaitTermination()
+        return run.lastProgress["stateOperators"][0]["customMetrics"]
+
+    assert "rocksdbPutCount" in metrics("ckpt")
+    assert spark.conf.get(key) == before
+    started = C.closed_url_counts(records, CFG, "5 minutes").writeStream.outputMode("append")
+    started = started.foreachBatch(lambda batch, _: batch.count()).option("checkpointLocation", str(tmp_path / "heap"))
+    started.trigger(**NOW).start().awaitTermination()
+    write_json(traffic(spark, [8]), tmp_path / "in")
+    assert "rocksdbPutCount" not in metrics("heap")
