@@ -114,6 +114,31 @@ def test_too_late_rows_are_set_aside(spark, tmp_path, library):
     assert C.current_windows(spark, root).filter("hour(window_ts) = 6 AND day(window_ts) = 1").count() == 0
 
 
+def test_a_late_batch_over_many_hours_writes_few_files(spark, tmp_path, library):
+    """Its rows are spread over all tasks; each of these had a file for every hour."""
+    late = traffic(spark, range(30))
+    arrivals(spark, tmp_path, traffic(spark, [50, 51]), traffic(spark, [52]), late)
+    root = correct(spark, tmp_path, library)
+    counts = spark.read.parquet(f"{root}/counts").filter("batch_id = 2")
+    assert counts.agg(F.sum("n")).first()[0] == late.count()
+    # the days are 2, and a task writes another file only where a day begins
+    assert len(counts.inputFiles()) <= 2 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert C.current_windows(spark, root).filter("window_ts < timestamp '2024-01-02 06:00:00'").count() == 30 * 4
+
+
+def test_the_whole_log_is_corrected_however_long_it_is(spark, tmp_path):
+    """The queries' log spans more than the 28 days that are kept by default."""
+    from logwarden.checks import queries as Q
+
+    ids = [*range(900), *range(300_000, 301_800)]  # three hours, and six hours 41 days later
+    rows = [(i, i % 8, "error" if i % 50 == 0 else "view") for i in ids]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    pages = [(0, "https://a.example/p/1?page=2"), (1, "https://a.example/q")]
+    spark.createDataFrame(pages, "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    windows = Q.queries()["t6_late_corrections"](spark, str(tmp_path))
+    assert windows.filter("window_ts < timestamp_ntz '2024-01-02 00:00:00'").agg(F.sum("n_requests")).first()[0] == 900
+
+
 def test_state_of_open_windows_is_not_held_on_the_heap(spark, tmp_path, library):
     """A query that was started with another provider goes on with it."""
     key = "spark.sql.streaming.stateStore.providerClass"
